@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,26 +28,35 @@ def strict_text(raw: Column, field: str) -> Column:
     return F.when(is_text(raw), raw.cast("string")).otherwise(refusal.cast("string"))
 
 
-def json_string(text: Column) -> Column:
-    """A JSON string literal, or ``null``: a one-element JSON array without its brackets."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, which lambdas otherwise repeat at each use."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _bare(listed: Column) -> Column:
+    """A one-element JSON array of a string or null without its brackets; text inside is in quotes."""
+    return F.btrim(listed, F.lit("[]"))
 
 
 def header_text(raw: Column) -> Column:
     """A header value as text. Headers never stop a read: other bytes become marked base64."""
-    return F.when(is_text(raw), raw.cast("string")).otherwise(F.concat(F.lit("base64:"), base64_text(raw)))
+    return F.coalesce(F.try_validate_utf8(raw.cast("string")), F.concat(F.lit("base64:"), base64_text(raw)))
 
 
 def headers_json(headers: Column) -> Column:
     """A JSON object of name to value; a repeated name holds an array and keeps its first position."""
     names = F.array_distinct(F.transform(headers, lambda h: h["key"]))
-
-    def member(name: Column) -> Column:
-        values = F.transform(F.filter(headers, lambda h: h["key"] == name), lambda h: header_text(h["value"]))
-        listed = F.to_json(values)
-        bare = F.substring(listed, F.lit(2), F.length(listed) - 2)
-        return F.concat(json_string(name), F.lit(":"), F.when(F.size(values) == 1, bare).otherwise(listed))
-
-    body = F.array_join(F.transform(names, member), ",")
-    return F.coalesce(F.concat(F.lit("{"), body, F.lit("}")), F.lit("{}"))
+    texts = F.transform(headers, lambda h: F.struct(h["key"], header_text(h["value"]).alias("text")))
+
+    def member(name: Column, entries: Column) -> Column:
+        values = F.transform(F.filter(entries, lambda e: e["key"] == name), lambda e: e["text"])
+        written = _bind(values, lambda v: F.when(F.size(v) == 1, _bare(F.to_json(v))).otherwise(F.to_json(v)))
+        return F.concat(_bare(F.to_json(F.array(name))), F.lit(":"), written)
+
+    grouped = _bind(texts, lambda es: F.array_join(F.transform(names, lambda n: member(n, es)), ","))
+    return (
+        F.when(F.coalesce(F.size(headers), F.lit(0)) <= 0, F.lit("{}"))
+        # Names rarely repeat; without repeats the headers are a map.
+        .when(F.size(names) == F.size(headers), F.to_json(F.map_from_entries(texts)))
+        .otherwise(F.concat(F.lit("{"), grouped, F.lit("}")))
+    )
