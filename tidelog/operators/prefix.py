@@ -21,7 +21,8 @@ Combine = Callable[[Column, Column], Column]
 
 
 def block_of(seq: Column, bits: int = BLOCK_BITS) -> Column:
-    return F.shiftright(seq.cast("bigint"), bits)
+    # Never null, so joins on it add no filter and both uses of the block totals are one shuffle.
+    return F.coalesce(F.shiftright(seq.cast("bigint"), bits), F.lit(0).cast("bigint"))
 
 
 def block_carry(
