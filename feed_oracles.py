@@ -201,7 +201,7 @@ from ev""",
     "stream_feed": f"""
 with {EV}
 select topic, part as "partition", off as "offset", k as "key", v as "value", {HEADERS} as headers from ev""",
-    "stream_dedupe": f"""
+    "stream_land": f"""
 with {EV} select part as "partition", off as "offset", k as "key", v as "value" from ev""",
     "landed_counts": f"""
 with {EV} select part as "partition", count(*) as messages from ev where ts >= {MID} group by part""",

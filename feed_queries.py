@@ -29,7 +29,7 @@ from tidelog.session import scratch_path, use_utc
 from tidelog.sinks.append import append_offsets, append_to_log
 from tidelog.sinks.records import to_records
 from tidelog.sources.logs import as_log, discover_partitions, header, load_log, offsets_at, spread, watermarks
-from tidelog.streaming.stream import stream_dedupe, stream_feed
+from tidelog.streaming.stream import stream_feed, stream_land
 
 MIDMONTH = datetime(2024, 1, 15, tzinfo=timezone.utc)
 LATER = datetime(2024, 1, 22, tzinfo=timezone.utc)
@@ -219,8 +219,7 @@ def q_token(spark, sf_dir):
 def q_token_empty(spark, sf_dir):
     """Starting at latest lands nothing and still records where to go on."""
     run = feed_run(orders_log(spark, sf_dir), ReadOptions("orders", "latest"))
-    landed = run.envelope.agg(F.count("value").alias("landed"))
-    return run.token.crossJoin(F.broadcast(landed))
+    return run.token.withColumn("landed", F.lit(run.envelope.count()).cast("bigint"))
 
 
 def q_token_parse(spark, sf_dir):
@@ -364,12 +363,11 @@ def q_stream_feed(spark, sf_dir):
     return spark.read.parquet(landed).select("topic", "partition", "offset", "key", "value", "headers")
 
 
-def q_stream_dedupe(spark, sf_dir):
+def q_stream_land(spark, sf_dir):
     """Every record delivered twice in the stream, landed once."""
-    landed, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "checkpoint")
-    log = _events_stream(spark, sf_dir)
-    once = stream_dedupe(log.unionByName(_events_stream(spark, sf_dir)), "30 days")
-    stream_feed(once, landed, checkpoint).awaitTermination()
+    landed, state, checkpoint = (scratch_path(spark, n) for n in ("landed", "state", "checkpoint"))
+    twice = _events_stream(spark, sf_dir).unionByName(_events_stream(spark, sf_dir))
+    stream_land(twice, ReadOptions("events"), landed, state, checkpoint).awaitTermination()
     return spark.read.parquet(landed).select("partition", "offset", "key", "value")
 
 

@@ -6,11 +6,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidelog.operators.reading import envelope
-from tidelog.options import WriteOptions
+from tidelog.options import ReadOptions, WriteOptions
+from tidelog.plans.state import load_token
 from tidelog.schema import LOG_SCHEMA
 from tidelog.sinks.append import key_partition
 from tidelog.sources.logs import load_log
-from tidelog.streaming.stream import stream_append, stream_dedupe, stream_feed
+from tidelog.streaming.stream import stream_append, stream_feed, stream_land
 
 
 @pytest.fixture
@@ -64,12 +65,44 @@ def test_bad_bytes_stop_the_stream_and_land_nothing_of_their_batch(topic):
     assert topic.landed() == [(0, 0, "a")]
 
 
-def test_redelivered_records_land_once(topic):
-    topic.add((0, 0, None, "a"), (0, 1, None, "b"))
-    topic.run(stream_dedupe(topic.stream()))
-    topic.add((0, 1, None, "b"), (0, 2, None, "c"))
-    topic.run(stream_dedupe(topic.stream()))
-    assert topic.landed() == [(0, 0, "a"), (0, 1, "b"), (0, 2, "c")]
+@pytest.fixture
+def land_once(spark, topic, tmp_path):
+    paths = [str(tmp_path / n) for n in ("once", "state", "once-checkpoint")]
+
+    def run(checkpoint=paths[2]):
+        stream_land(topic.stream(maxFilesPerTrigger="1"), ReadOptions("orders"), *paths[:2], checkpoint).awaitTermination()
+        landed = pairs(spark.read.parquet(paths[0]), "partition", "offset", "value")
+        return landed, load_token(spark, paths[1], "orders")[0]
+    return run
+
+
+def test_redelivered_and_late_records_land_once_each(topic, land_once):
+    topic.add((0, 0, None, "a"), (0, 3, None, "d"), (1, 0, None, "x"), (0, 0, None, "a"))
+    assert land_once() == (
+        [(0, 0, "a"), (0, 3, "d"), (1, 0, "x")], '{"v":1,"topic":"orders","partitions":{"0":4,"1":1}}')
+    topic.add((0, 3, None, "d"), (0, 2, None, "c"), (0, 4, None, "e"), (0, 4, None, "e"))
+    topic.add((0, 2, None, "c"), (2, 0, None, "z"))
+    assert land_once() == (
+        [(0, 0, "a"), (0, 2, "c"), (0, 3, "d"), (0, 4, "e"), (1, 0, "x"), (2, 0, "z")],
+        '{"v":1,"topic":"orders","partitions":{"0":5,"1":1,"2":1}}')
+
+
+def test_a_batch_that_runs_again_lands_the_same_rows(topic, land_once, tmp_path):
+    topic.add((0, 0, None, "a"))
+    topic.add((0, 1, None, "b"), (0, 0, None, "a"))
+    before = land_once()
+    # As after a crash between the stored token and Spark's commit of the last batch.
+    (tmp_path / "once-checkpoint" / "commits" / "1").unlink()
+    (tmp_path / "once-checkpoint" / "commits" / ".1.crc").unlink()
+    assert land_once() == before
+
+
+def test_state_ahead_of_its_checkpoint_is_refused(topic, land_once, tmp_path):
+    for i in range(3):
+        topic.add((0, i, None, str(i)))
+    land_once()
+    with pytest.raises(StreamingQueryException, match="ahead of the checkpoint"):
+        land_once(str(tmp_path / "fresh-checkpoint"))
 
 
 def test_a_stream_appends_to_a_log(spark, topic, tmp_path):

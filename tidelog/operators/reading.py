@@ -15,6 +15,8 @@ from tidelog.session import SMALL_ROWS, small_rows
 # Up to this many partitions the ranges become literals, which reach the Parquet scan as filters.
 LITERAL_RANGES = 64
 
+RECORD_ID = ["topic", "partition", "offset"]
+
 
 def read_slice(log: DataFrame, bounds: DataFrame) -> DataFrame:
     """Records with ``resume <= offset < bound`` of every unfinished partition.
@@ -90,7 +92,7 @@ def landed_counts(landed: DataFrame) -> DataFrame:
 
 def dedupe_redelivered(landed: DataFrame) -> DataFrame:
     """One row per (topic, partition, offset); copies collapse on the map side, before the shuffle."""
-    return landed.dropDuplicates(["topic", "partition", "offset"])
+    return landed.dropDuplicates(RECORD_ID)
 
 
 def compacted_view(log: DataFrame) -> DataFrame:

@@ -17,16 +17,25 @@ def store_token(token: DataFrame, path: str, run: int) -> None:
 
 def stored_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The latest token of every topic."""
-    states = spark.read.schema(STATE_DDL).parquet(path)
+    return _latest(spark.read.schema(STATE_DDL).parquet(path))
+
+
+def _latest(states: DataFrame) -> DataFrame:
     return states.groupBy("topic").agg(F.max_by("token", "run").alias("token"), F.max("run").alias("run"))
 
 
-def load_token(spark: SparkSession, path: str, topic: str) -> tuple[str | None, int]:
-    """(token text or None, number of the run that wrote it or 0)."""
+def load_token(
+    spark: SparkSession, path: str, topic: str, up_to: int | None = None
+) -> tuple[str | None, int]:
+    """(token text or None, number of the run that wrote it or 0), of runs numbered ``up_to`` at most."""
+    mine = F.col("topic") == topic
+    if up_to is not None:
+        mine = mine & (F.col("run") <= up_to)
     try:
-        row = stored_tokens(spark, path).where(F.col("topic") == topic).head()
+        states = spark.read.schema(STATE_DDL).parquet(path).where(mine)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None, 0
+    row = _latest(states).head()
     return (row["token"], row["run"]) if row else (None, 0)

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.reading import envelope
-from tidelog.options import WriteOptions
+from tidelog.errors import FeedRefused
+from tidelog.operators.reading import RECORD_ID, dedupe_redelivered, envelope
+from tidelog.operators.token import advance_token, parse_token
+from tidelog.options import ReadOptions, WriteOptions
+from tidelog.plans.state import load_token, store_token
 from tidelog.session import use_utc
 from tidelog.sinks.append import append_to_log, log_highs
 from tidelog.sinks.records import to_records
@@ -26,9 +30,59 @@ def stream_feed(log: DataFrame, landed_path: str, checkpoint: str, encoding: str
     )
 
 
-def stream_dedupe(landed: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop records delivered again within ``delay`` of event time; state is kept no longer than that."""
-    return landed.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
+def _unseen(batch: DataFrame, stored: DataFrame | None, landed_path: str, batch_id: int) -> DataFrame:
+    """The batch's records that no earlier batch landed, each once.
+
+    Records at or past the stored offsets are new. Older ones are copies or came late; only they are
+    looked up in the landed table, in their own range of offsets.
+    """
+    once = dedupe_redelivered(batch)
+    if stored is None:
+        return once
+    marked = once.join(stored, "partition", "left").withColumn(
+        "_old", F.coalesce(F.col("offset") < F.col("next_offset"), F.lit(False)))
+    old = marked.where("_old").select(*batch.columns)
+    low, high = old.agg(F.min("offset"), F.max("offset")).head()
+    new = marked.where("not _old").select(*batch.columns)
+    if low is None:
+        return new
+    earlier = (
+        batch.sparkSession.read.parquet(landed_path)
+        .where(F.col("offset").between(low, high) & (F.col("batch_id") < batch_id)).select(*RECORD_ID)
+    )
+    return new.unionByName(old.join(earlier, RECORD_ID, "left_anti").select(*batch.columns))
+
+
+def stream_land(
+    log: DataFrame, read: ReadOptions, landed_path: str, state_path: str, checkpoint: str
+) -> StreamingQuery:
+    """Land each record once, however often it is delivered, and keep the offset token of each batch.
+
+    The state is one token per batch, not one entry per record, and no record is dropped for being
+    late. A batch lands in its own folder, replaced when the batch runs again, and is judged by the
+    token stored before it, so a retry gives the same rows. The three paths belong together.
+    """
+    use_utc(log.sparkSession)
+
+    def land_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _, last_run = load_token(spark, state_path, read.topic)
+        if last_run > batch_id + 1:
+            raise FeedRefused(f"topic '{read.topic}': the stored state is ahead of the checkpoint; use new paths")
+        text, _ = load_token(spark, state_path, read.topic, up_to=batch_id)
+        stored = parse_token(spark, text, read.topic)
+        landed = envelope(_unseen(batch, stored, landed_path, batch_id), read.encoding)
+        landed.write.mode("overwrite").parquet(f"{landed_path}/batch_id={batch_id}")
+        reached = batch.groupBy("partition").agg((F.max("offset") + 1).alias("bound"))
+        if stored is not None:
+            reached = reached.unionByName(stored.withColumnRenamed("next_offset", "bound"))
+            reached = reached.groupBy("partition").agg(F.max("bound").alias("bound"))
+        store_token(advance_token(read.topic, reached), state_path, batch_id + 1)
+
+    return (
+        log.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
 
 
 def stream_append(
