@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidelog.functions.payload import base64_text, headers_json, is_text, strict_text
 from tidelog.operators.bounds import unfinished
-from tidelog.session import SMALL_ROWS, small_rows
+from tidelog.schema import BOUNDS_DDL
+from tidelog.session import SMALL_ROWS, local_table, small_rows
 
 # Up to this many partitions the ranges become literals, which reach the Parquet scan as filters.
 LITERAL_RANGES = 64
@@ -18,19 +20,22 @@ LITERAL_RANGES = 64
 RECORD_ID = ["topic", "partition", "offset"]
 
 
-def read_slice(log: DataFrame, bounds: DataFrame) -> DataFrame:
+def read_slice(log: DataFrame, bounds: DataFrame | Sequence[Row]) -> DataFrame:
     """Records with ``resume <= offset < bound`` of every unfinished partition.
 
-    Evaluates ``bounds`` now: a slice must not move while it is read. The overall offset range is
-    always a scan filter. Per-partition ranges are literals for few partitions, else a broadcast
-    join; past the broadcast limit a plain join, whose hot partitions AQE splits.
+    ``bounds`` are rows, or a table that is evaluated now: a slice must not move while it is read.
+    The overall offset range is always a scan filter. Per-partition ranges are literals for few
+    partitions, else a broadcast join; past the broadcast limit a plain join, whose hot partitions
+    AQE splits.
     """
-    todo = unfinished(bounds).select("partition", "resume", "bound")
-    rows = small_rows(todo, SMALL_ROWS)
+    if isinstance(bounds, DataFrame):
+        todo = unfinished(bounds).select("partition", "resume", "bound")
+        rows = small_rows(todo, SMALL_ROWS)
+    else:
+        rows = [r for r in bounds if r["resume"] < r["bound"]]
     offset = F.col("offset")
     if rows is None:
-        limits = todo.agg(F.min("resume"), F.max("bound")).head()
-        low, high = limits
+        low, high = todo.agg(F.min("resume"), F.max("bound")).head()
     elif not rows:
         return log.where(F.lit(False))
     else:
@@ -43,7 +48,8 @@ def read_slice(log: DataFrame, bounds: DataFrame) -> DataFrame:
         ]
         return near.where(F.col("partition").isin([r["partition"] for r in rows])).where(reduce(or_, ranges))
     if rows is not None:
-        todo = F.broadcast(log.sparkSession.createDataFrame(rows, todo.schema))
+        ranges = [(r["partition"], r["resume"], r["bound"]) for r in rows]
+        todo = F.broadcast(local_table(log.sparkSession, ranges, BOUNDS_DDL))
     inside = (offset >= F.col("resume")) & (offset < F.col("bound"))
     return near.join(todo, "partition").where(inside).select(*log.columns)
 

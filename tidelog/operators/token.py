@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.errors import FeedRefused
 from tidelog.schema import TOKEN_DDL
+from tidelog.session import local_table
 
 TOKEN_VERSION = 1
 
@@ -100,11 +101,11 @@ def parse_token(spark: SparkSession, text: str | None, topic: str) -> DataFrame
     """
     if not text:
         return None
-    parsed = parse_tokens(spark.createDataFrame([(text,)], "token string"), topic=topic)
+    parsed = parse_tokens(local_table(spark, [(text,)], "token string"), topic=topic)
     row = parsed.select("partitions", "problem").head()
     if row["problem"] is not None:
         raise FeedRefused(
             f"topic '{topic}': the stored state is not a usable offset token ({row['problem']}); "
             "drop it to start over from 'start'"
         )
-    return spark.createDataFrame(sorted(row["partitions"].items()), TOKEN_DDL)
+    return local_table(spark, sorted(row["partitions"].items()), TOKEN_DDL)

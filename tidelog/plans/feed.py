@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tidelog.errors import FeedRefused
@@ -15,9 +15,12 @@ from tidelog.operators.reading import envelope, read_slice
 from tidelog.operators.token import advance_token, parse_token
 from tidelog.options import ReadOptions
 from tidelog.plans.state import load_token, store_token
-from tidelog.session import small_rows, stage, use_utc
+from tidelog.schema import BOUNDS_DDL
+from tidelog.session import local_table, small_rows, snapshot, stage, use_utc
 from tidelog.sources.logs import offsets_at, watermarks
 
+BOUND_COLUMNS = ("partition", "resume", "bound")
+
 
 @dataclass(frozen=True)
 class FeedRun:
@@ -55,16 +58,18 @@ def feed_run(
     if rows is None:
         plan = stage(plan, "plan")
         refuse_problems(read.topic, plan.where(F.col("problem").isNotNull()).collect())
+        bounds = to_read = effective_bounds(plan.select("partition", "resume", "bound"), stops)
     else:
         refuse_problems(read.topic, rows)
         if not rows:
             raise FeedRefused(f"topic '{read.topic}' does not exist; create it or fix the 'topic' option")
-        plan = spark.createDataFrame(rows, plan.schema)
-    bounds = plan.select("partition", "resume", "bound").orderBy("partition")
-    bounds = effective_bounds(bounds, stops)
+        to_read = sorted((Row(**{c: r[c] for c in BOUND_COLUMNS}) for r in rows), key=lambda r: r["partition"])
+        bounds = local_table(spark, to_read, BOUNDS_DDL)
+        if stops is not None:
+            bounds = to_read = snapshot(effective_bounds(bounds, stops), "bounds")
     return FeedRun(
         read.topic, bounds,
-        envelope(read_slice(log, bounds), read.encoding),
+        envelope(read_slice(log, to_read), read.encoding),
         advance_token(read.topic, bounds),
     )
 

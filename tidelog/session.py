@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Partition-level tables (watermarks, bounds, tokens) have one row per topic partition. Up to this
 # many rows they go to the driver or into a broadcast (24 bytes a row); past it they are staged.
@@ -62,9 +66,22 @@ def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     return rows if len(rows) <= limit else None
 
 
+def local_table(spark: SparkSession, rows: Iterable, schema: str | T.StructType) -> DataFrame:
+    """A small table that is part of the plan, with its size known to Catalyst.
+
+    ``rows`` are tuples or Rows in schema order.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(values), f.type) for values, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 def snapshot(df: DataFrame, name: str, limit: int = SMALL_ROWS) -> DataFrame:
     """Evaluate a partition-level table once, so that a run cannot see it change underneath."""
     rows = small_rows(df, limit)
     if rows is None:
         return stage(df, name)
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return local_table(df.sparkSession, rows, df.schema)
