@@ -25,6 +25,8 @@ def local_session(app: str = "tidelog", cores: int | str = "*", shuffle_partitio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Stack traces for every column call make plans several times slower to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
