@@ -55,15 +55,24 @@ def _add(a: Column, b: Column) -> Column:
     return F.coalesce(a, zero) + F.coalesce(b, zero)
 
 
-def dense_rank_in_order(df: DataFrame, keys: Sequence[str], seq: str, out: str, bits: int = BLOCK_BITS) -> DataFrame:
-    """Number each key's rows 0, 1, 2, .. in ``seq`` order; ``seq`` is a bigint unique within the key."""
+def dense_rank_in_order(
+    df: DataFrame, keys: Sequence[str], seq: str, out: str, bits: int = BLOCK_BITS, starts: DataFrame | None = None
+) -> DataFrame:
+    """Number each key's rows in ``seq`` order without gaps; ``seq`` is a bigint unique within the key.
+
+    Numbers begin at 0, or at ``start`` of ``starts`` (keys, start), which meets the block totals
+    only and never the rows.
+    """
+    zero = F.lit(0).cast("bigint")
     blocked = df.withColumn("_block", block_of(F.col(seq), bits))
     partials = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     carry = block_carry(partials, keys, ["_n"], F.sum, _add, bits, 64 - bits)
+    if starts is not None:
+        carry = carry.join(starts.select(*keys, "start"), list(keys), "left").select(
+            *keys, "_block", _add(F.col("_n"), F.col("start")).alias("_n"))
     in_block = Window.partitionBy(*keys, "_block").orderBy(seq)
     local = blocked.withColumn("_rank", F.row_number().over(in_block).cast("bigint") - 1)
     joined = local.join(carry, [*keys, "_block"])
-    zero = F.lit(0).cast("bigint")
     return joined.select(*df.columns, (F.col("_rank") + F.coalesce("_n", zero)).alias(out))
 
 

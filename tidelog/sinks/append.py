@@ -36,13 +36,8 @@ def append_offsets(records: DataFrame, highs: DataFrame | None, order: str, bits
     as ``source_offset * partitions + source_partition``. ``highs`` is (partition, high); a
     partition without one starts at 0. A hot partition is numbered by many tasks.
     """
-    ranked = dense_rank_in_order(records, ["partition"], order, "_rank", bits)
-    if highs is None:
-        return ranked.withColumn("offset", F.col("_rank")).drop("_rank")
-    # Both sides keyed by partition only; AQE broadcasts highs, one row per partition.
-    numbered = ranked.join(highs.select("partition", "high"), "partition", "left")
-    zero = F.lit(0).cast("bigint")
-    return numbered.withColumn("offset", F.col("_rank") + F.coalesce("high", zero)).drop("_rank", "high")
+    starts = None if highs is None else highs.select("partition", F.col("high").alias("start"))
+    return dense_rank_in_order(records, ["partition"], order, "offset", bits, starts)
 
 
 def append_to_log(

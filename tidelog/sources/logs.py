@@ -61,10 +61,10 @@ def load_log(spark: SparkSession, path: str, topic: str | None = None) -> DataFr
 
 def discover_partitions(log: DataFrame, topic: str) -> DataFrame:
     """The topic's partitions; a topic without any is refused by name."""
-    found = log.where(F.col("topic") == topic).select("topic", "partition").distinct()
+    found = log.where(F.col("topic") == topic).select("topic", "partition")
     if not found.head(1):
         raise FeedRefused(f"topic '{topic}' does not exist; create it or fix the 'topic' option")
-    return found
+    return found.distinct()
 
 
 def watermarks(log: DataFrame, partitions: DataFrame | None = None) -> DataFrame:
