@@ -23,8 +23,11 @@ ORD = """
 ord as (select cast(o_custkey % 8 as integer) as part, o_orderkey as off from orders),
 ord_marks as (select part, min(off) as low, max(off) + 1 as high from ord group by part)"""
 HEADERS = """
-'{"type":"' || event_type || '","id":["' || user_id || '","' || event_id || '"],"note":'
-|| case when event_type = 'view' then 'null' else '"' || event_type || ' \\"quoted\\""' end
+'{"type":"' || event_type || '",'
+|| case when event_type = 'click' then '"id":["' || user_id || '","' || event_id || '"]'
+        else '"id":"' || user_id || '"' end
+|| ',"note":' || case when event_type = 'view' then 'null' else '"' || event_type || ' \\"quoted\\""' end
+|| case when event_type = 'click' then '' else ',"event":"' || event_id || '"' end
 || ',"raw":"base64:/w=="}'"""
 TICKS = """
 ticks as (

@@ -58,12 +58,13 @@ def _rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _event_headers() -> Column:
-    """A plain header, a repeated one, one that is sometimes null, one that is not text."""
+    """A plain header, one that clicks repeat, one that is sometimes null, one that is not text."""
+    second = F.when(_type() == "click", "id").otherwise("event")
     return F.array(
         header("type", _type()),
         header("id", _user().cast("string")),
         header("note", F.when(_type() != "view", F.concat(_type(), F.lit(' "quoted"')))),
-        header("id", F.col("event_id").cast("string")),
+        header(second, F.col("event_id").cast("string")),
         header("raw", F.lit(bytes([0xFF]))),
     )
 

@@ -48,7 +48,7 @@ def spread(df: DataFrame, tasks: int = 32) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 
 
-def header(name: str, value: Column) -> Column:
+def header(name: str | Column, value: Column) -> Column:
     """One header of a record; put several in ``F.array``."""
     return F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
 
