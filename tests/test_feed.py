@@ -9,10 +9,10 @@ from tidelog.options import ReadOptions, WriteOptions
 from tidelog.plans.feed import feed_run, land
 from tidelog.plans.state import load_token, store_token, stored_tokens
 from tidelog.schema import WATERMARKS_DDL
-from tidelog.session import scratch_path, snapshot, stage
+from tidelog.session import scratch_path, snapshot, stage, use_footer_statistics
 from tidelog.sinks.append import append_to_log, log_highs
 from tidelog.sinks.records import to_records
-from tidelog.sources.logs import load_log, spread
+from tidelog.sources.logs import load_log, spread, watermarks
 
 ORDERS = ReadOptions("orders")
 
@@ -190,6 +190,20 @@ def test_slices_of_a_stored_log_skip_by_partition_and_offset(spark, tmp_path):
     assert pairs(run.envelope, "partition", "offset") == [(1, o) for o in range(20, 25)]
 
 
+def test_watermarks_of_a_stored_log_can_come_from_file_footers(spark, tmp_path):
+    path, write = str(tmp_path / "log"), WriteOptions.parse("orders", {"key": "id"})
+    for start in (0, 40):
+        records = to_records(spark.range(start, start + 40).withColumn("seq", F.col("id")), write, keep=("seq",))
+        append_to_log(records, path, write, F.pmod("seq", F.lit(3)), "seq", log_highs(spark, path, "orders"))
+    other = use_footer_statistics(spark.newSession())
+    marked = watermarks(load_log(other, path, "orders"))
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(offset), MAX(offset)]" in plan
+    assert pairs(marked, "partition", "low", "high") == [(0, 0, 27), (1, 0, 27), (2, 0, 26)]
+    run = feed_run(load_log(other, path, "orders"), ORDERS, '{"v":1,"topic":"orders","partitions":{"0":26,"1":26}}')
+    assert pairs(run.envelope, "partition").count((2,)) == 26 and run.envelope.count() == 28
+
+
 def test_small_tables_are_fixed_and_large_ones_staged_in_the_named_folder(spark):
     rows = spark.range(5)
     assert pairs(snapshot(rows, "t"), "id") == pairs(snapshot(rows, "t", limit=2), "id") == [(i,) for i in range(5)]

@@ -68,14 +68,15 @@ def discover_partitions(log: DataFrame, topic: str) -> DataFrame:
 
 
 def watermarks(log: DataFrame, partitions: DataFrame | None = None) -> DataFrame:
-    """Low offset and next offset to be written, per partition.
+    """Low offset and next offset to be written, per partition of a log of one topic.
 
-    ``partitions`` adds partitions that hold no record yet, at (0, 0). Data alone shows neither
+    Grouping by topic too lets a session with spark.sql.parquet.aggregatePushdown answer from file
+    footers, as a stored log is laid out by (topic, partition). ``partitions`` adds partitions that hold no record yet, at (0, 0). Data alone shows neither
     retention nor trailing gaps; where a broker or a catalogue states watermarks, use those.
     """
-    seen = log.groupBy("partition").agg(
+    seen = log.groupBy("topic", "partition").agg(
         F.min("offset").alias("low"), (F.max("offset") + 1).alias("high")
-    )
+    ).drop("topic")
     if partitions is None:
         return seen
     zero = F.lit(0).cast("bigint")
