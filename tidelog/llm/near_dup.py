@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,10 +13,19 @@ from pyspark.sql.window import Window
 from tidelog.llm.common import components, staged
 from tidelog.llm.textbatch import U, chunks, mixed, shingles
 
-BANDS, ROWS = 36, 7  # misses a pair of similarity 0.85 with probability 9e-7
+BANDS = 36
+MISSED = 1e-6
 PROBES = 1024
 
 
+def rows_for(share: float, bands: int = BANDS) -> int:
+    """The most rows a band may have for a pair at the threshold to be missed by all bands with probability MISSED at most."""
+    rows = 1
+    while (1 - share ** (rows + 1)) ** bands <= MISSED:
+        rows += 1
+    return rows
+
+
 def _probe(bins: int, attempts: int = PROBES) -> np.ndarray:
     """For each empty bin and attempt, the bin to copy from. The same for all rows, so that equal sets agree."""
     k = np.arange(bins, dtype=np.uint64)[None, :] * U(PROBES) + np.arange(attempts, dtype=np.uint64)[:, None]
@@ -109,7 +117,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .filter(100 * both >= percent * (F.col("n_l") + F.col("n_r") - both)).select("src", "dst"))
 
 
-def near_groups(documents: DataFrame, percent: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_groups(documents: DataFrame, percent: int = 85, bands: int = BANDS) -> DataFrame:
     """(doc_id, n, component) of each row (doc_id, text), linked where 100 * intersection >= percent * union.
 
     1. Documents with equal sets are one class from the start (counted by a 128-bit sum of the set's hashes), so
@@ -125,7 +133,7 @@ def near_groups(documents: DataFrame, percent: int = 85, bands: int = BANDS, row
     """
     share = percent / 100
     text = documents.select("doc_id", "text")
-    sketched = staged(text.mapInArrow(_sketches(bands, rows), "doc_id long, n long, a long, b long, bands array<long>"))
+    sketched = staged(text.mapInArrow(_sketches(bands, rows_for(share, bands)), "doc_id long, n long, a long, b long, bands array<long>"))
     named = sketched.filter("n > 0 and doc_id is not null")
     classes = staged(named.groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")))
     # A document id in several classes joins them.

@@ -18,6 +18,20 @@ def op2_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), PRODUCTION_RULES)
 
 
+def op3_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.secrets import candidates, reviewed, scan
+    documents = table(spark, sf_dir, "documents")
+    found = scan(documents, reviewed(candidates(documents)))
+    return found.select("doc_id", "position", F.length("candidate").alias("size"), F.sha2("candidate", 256).alias("sha256"),
+                        "probability", "secret")
+
+
+def op4_cover_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.topk import exact_top_k
+    out = exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op5_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidelog.llm.sharding import interleave
     out = interleave(table(spark, sf_dir, "documents"), 40)
@@ -25,6 +39,16 @@ def op5_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.packing import pack, public_tokenizer
+    return pack(table(spark, sf_dir, "documents"), public_tokenizer())
+
+
+def op7_pigeonhole_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidelog.llm.near_dup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -37,5 +61,11 @@ def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_removed").cast("int") == 0).alias("unchanged"), "has_rest")
 
 
+def op10_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.line_quality import quality
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_nnpu_toxicity, op2_redirect_filter, op5_stratified_shards, op8_minhash_dedup, op9_line_spread)}
+    op1_nnpu_toxicity, op2_redirect_filter, op3_forest_secrets, op4_cover_tree_topk, op5_stratified_shards,
+    op6_bin_completion, op7_pigeonhole_matches, op8_minhash_dedup, op9_line_spread, op10_crf_quality)}
