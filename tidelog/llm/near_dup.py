@@ -126,7 +126,8 @@ def near_groups(documents: DataFrame, percent: int = 85, bands: int = BANDS) ->
        3. Candidates are checked on full sets, and links give components. 4. A star can leave members of a bucket in
        different components though they are similar to each other. All classes of such buckets go through an exact
        prefix filter: with shingles in order of frequency, two similar sets share one of the first
-       n - ceil(percent * n / 100) + 1. Those pairs, of different components only, are checked too.
+       n - ceil(percent * n / 100) + 1, and after the first in common both have enough left. Those pairs, of
+       different components only, are checked too.
 
     Null and blank texts have n = 0 and their own id as component; a null id has a null component. Rows that
     share an id are one document that has all their links. An empty table gives no rows.
@@ -155,7 +156,6 @@ def near_groups(documents: DataFrame, percent: int = 85, bands: int = BANDS) ->
         .join(classes.select("n", "a", "b", "node"), ["n", "a", "b"]).filter("doc_id = node")
         .dropDuplicates(["node", "n", "a", "b"]).select("node", "n", "set"))
     pairs = met.filter("centre < node").select(F.col("centre").alias("src"), F.col("node").alias("dst")).distinct()
-    size = sizes.groupBy("node").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"))
     links = staged(_linked(pairs, sets, percent).distinct().union(bridges))
     groups = components(links)
 
@@ -187,14 +187,22 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     shared = F.count("*").over(Window.partitionBy("node", "n"))
     at = F.row_number().over(Window.partitionBy("node", "n").orderBy("f", "s"))
     prefix = (
-        common.withColumn("k", at).withColumn("m", shared)
-        .filter(F.col("n") - F.col("m") + F.col("k") <= F.col("n") - F.ceil(F.col("n") * F.lit(share) - 1e-9) + 1)
-        .select("s", "node", "component", "n"))
-    mixed_up = prefix.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    prefix = staged(prefix.join(mixed_up, "s", "left_semi"))
+        common.withColumn("p", F.col("n") - shared + at)
+        .filter(F.col("p") <= F.col("n") - F.ceil(F.col("n") * F.lit(share) - 1e-9) + 1)
+        .select("s", "f", "node", "component", "n", "p"))
+    prefix = staged(prefix)
+    # Shingles of a shared passage stand in the same sets. Of shingles with equal sets the first in the order will do.
+    alike = prefix.groupBy("s", "f").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("held"),
+        *[F.sum(F.xxhash64(F.lit(k), "node", "n").cast("decimal(38,0)")).alias(f"of_{k}") for k in (1, 2)])
+    kept = alike.filter("lo < hi").groupBy("held", "of_1", "of_2").agg(F.min(F.struct("f", "s")).alias("first")).select("first.s")
+    prefix = staged(prefix.join(kept, "s", "left_semi"))
     one, two = prefix.alias("x"), prefix.alias("y")
+    # With this as the first shingle in common, both rests have to hold what the overlap needs.
+    rest_holds = F.least(F.col("x.n") - F.col("x.p"), F.col("y.n") - F.col("y.p")) + 1
     near = (
         (F.col("x.s") == F.col("y.s")) & (F.col("x.component") < F.col("y.component"))
+        & (rest_holds >= (F.col("x.n") + F.col("y.n")) * F.lit(share / (1 + share)) - 1e-9)
         & (F.col("x.n") >= F.lit(share) * F.col("y.n") - 1e-9) & (F.col("y.n") >= F.lit(share) * F.col("x.n") - 1e-9))
     return one.join(two, near).select(F.col("x.node").alias("src"), F.col("y.node").alias("dst")).distinct()
 
