@@ -1,0 +1,136 @@
+"""URL verdicts, boilerplate lines, benchmark items and secrets against plain versions."""
+
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidelog.llm.decontaminate import Matcher, best_end, contaminated, drop_contaminated, pieces
+from tidelog.llm.line_dedup import drop_boilerplate
+from tidelog.llm.secrets import candidates, reviewed, scan
+from tidelog.llm.url_filter import PRODUCTION_RULES, Rule, filter_urls
+
+CANONICAL = '<html><head><link rel="canonical" href="{}"></head></html>'
+REFRESH = "<META HTTP-EQUIV=refresh CONTENT='0; url={}'>"
+
+
+def test_verdicts_and_aliases(spark):
+    rows = [
+        (1, "https://A.Example.org/es/1?x#y", None), (2, "http://b.org/es/", ""), (3, "http://x.example.com/de/7", "<p>"),
+        (4, "http://x.com/fr/1", None), (5, None, "<p>"), (6, "nothing", None), (7, "https://org", None),
+        (8, "http://alias.net/a", CANONICAL.format("http://x.example.com/de/7")),
+        (9, "http://alias.net/b", REFRESH.format("/a?p=1&amp;q=2")), (10, "http://alias.net/a?p=1&q=2", CANONICAL.format("a")),
+        (11, "http://two.net/a", CANONICAL.format("//z.com/de/never-crawled")), (12, "http://two.net/b", CANONICAL.format("./a")),
+        (13, "http://two.net/c", CANONICAL.format("http://ok.org/")), (14, "http://two.net/d", CANONICAL.format("http://two.net/c#t")),
+        (15, "http://two.net/e", "<!--" + CANONICAL.format("http://x.com/de/7") + "-->"), (8, "http://alias.net/a", None),
+        (16, "http://notcom/de/", None), (17, "http://three.net/d", None), (18, "http://x.com.evil/de/1", None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("verdict", F.lit(0)).withColumn("node", F.lit(0))
+    redirects = spark.createDataFrame([("http://three.net/d", "http://q.com/de/"), (None, "http://q.com/de/")], "from_url string, to_url string")
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict, r.by) for r in filter_urls(pages, PRODUCTION_RULES, redirects).collect())
+    assert got == sorted([
+        (1, "a.example.org", "/es/1", "example.org/es/", "block", "rule"), (2, "b.org", "/es/", "org/", "allow", "rule"),
+        (3, "x.example.com", "/de/7", "com/de/", "block", "rule"), (4, "x.com", "/fr/1", "com/fr/", "allow", "rule"),
+        (5, "", "", None, "allow", "none"), (6, "", "", None, "allow", "none"), (7, "org", "", None, "allow", "none"),
+        (8, "alias.net", "/a", None, "block", "alias"), (8, "alias.net", "/a", None, "block", "alias"),
+        (9, "alias.net", "/b", None, "block", "alias"), (10, "alias.net", "/a", None, "block", "alias"),
+        (11, "two.net", "/a", None, "block", "alias"), (12, "two.net", "/b", None, "block", "alias"),
+        (13, "two.net", "/c", None, "allow", "alias"), (14, "two.net", "/d", None, "allow", "alias"),
+        (15, "two.net", "/e", None, "allow", "none"), (16, "notcom", "/de/", None, "allow", "none"),
+        (17, "three.net", "/d", None, "block", "alias"), (18, "x.com.evil", "/de/1", None, "allow", "none")])
+
+
+def test_many_rules_are_judged_like_few(spark):
+    rows = [(i, f"http://h{i % 9}.{'com' if i % 2 else 'org'}/{'de' if i % 3 else 'fr'}/{i}", None) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rules = [*PRODUCTION_RULES, Rule("block", "h3.com", "/"), Rule("allow", "h3.com", "/de/")]
+    more = [*rules, *[Rule("block", f"unused{k}.net", "/") for k in range(300)]]
+    of = lambda r: sorted(map(tuple, filter_urls(pages, r).collect()), key=str)
+    assert of(rules) == of(more)
+    assert filter_urls(pages.limit(0), rules).count() == 0
+
+
+def test_cross_site_lines_go_but_for_one_home(spark, docs):
+    r = random.Random(6)
+    rows = [(i, "\n".join([f"own {i}", " All rights reserved ", *(["few sites"] if i < 4 else [])]), f"s{i % 13}") for i in range(40, 0, -1)]
+    rows += [(100 + i, "All rights reserved\n \n", f"s{i}") for i in range(3)]
+    rows += [(200, None, "s1"), (201, "", None), (None, "All rights reserved\nkept", None), (5, rows[35][1], "s5"), (300, "lone", None)]
+    r.shuffle(rows)
+    got = drop_boilerplate(docs(rows).withColumn("bad", F.lit(1)).withColumn("lines", F.lit("x")).withColumn("row_key", F.lit(2)), 10)
+    out = sorted(((x.doc_id, x.text) for x in got.collect()), key=str)
+    want = []
+    for i, text, *_ in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if x.strip() != "All rights reserved" or i == 1]
+        if text is None or left == lines:
+            want.append((i, text))
+        elif any(x.strip() for x in left):
+            want.append((i, "\n".join(left)))
+    assert out == sorted(want, key=str) and got.columns[-3:] == ["bad", "lines", "row_key"]
+    assert drop_boilerplate(docs([])).count() == 0
+    assert drop_boilerplate(docs(rows), 14).count() == len(rows)
+
+
+def plain_distance(item, text):
+    last = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        now = [i]
+        for j, b in enumerate(text, 1):
+            now.append(min(last[j - 1] + (a != b), last[j] + 1, now[-1] + 1))
+        last = now
+    return min((d, j) for j, d in enumerate(last))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab c", min_size=1, max_size=70), st.text("ab c", max_size=90))
+def test_bit_parallel_distance(item, text):
+    assert best_end(item, text) == plain_distance(item, text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("abc d", min_size=24, max_size=60), st.text("abc d", max_size=150), st.integers(0, 3), st.randoms())
+def test_no_occurrence_within_the_budget_is_missed(item, text, edits, r):
+    noisy = list(item)
+    for _ in range(edits):
+        at = r.randrange(len(noisy))
+        noisy[at: at + 1] = r.choice(["", "x", noisy[at] + "y"])
+    text = text + "".join(noisy) + text[::-1]
+    found = Matcher([(1, item)], 0.1).find(text)
+    best = plain_distance(item, text)
+    assert found == ([(1, *best)] if best[0] <= int(len(item) * 0.1) else [])
+    assert "".join(p for _, p in pieces(item, 4)) == item
+
+
+def test_contaminated_documents(spark, docs):
+    item = "The quick brown fox jumps over the lazy dog while nine wizards watch quietly from the hill."
+    noisy = item.replace("quick", "quikc").replace("nine", "9ine")
+    rows = [(1, "Intro. " + item.upper() + " end"), (2, "x " + noisy.replace(" ", "\n ") + " y"), (3, "The quick brown fox"), (4, None),
+            (5, ""), (None, item), (1, "clean row of the same id"), (6, "pad " * 50_000 + item), (6, "pad " * 50_000 + item)]
+    benchmark = spark.createDataFrame([(9, item), (10, "too short"), (11, None), (None, item), (12, "")], "item_id long, text string")
+    table = docs(rows).withColumn("item_id", F.lit(1)).withColumn("hit", F.lit(1))
+    got = sorted(((x.doc_id, x.item_id, x.edits) for x in contaminated(table, benchmark).collect()), key=str)
+    edits = {i: plain_distance(item.lower(), " ".join(t.lower().split()))[0] for i, t in rows[:2]}
+    assert edits[1] == 0 and 0 < edits[2] <= 4
+    assert got == sorted([(i, k, edits.get(i, 0)) for i in (1, 2, None, 6, 6) for k in (9, None)], key=str)
+    kept = drop_contaminated(table, benchmark)
+    assert sorted((x.doc_id for x in kept.collect())) == [1, 3, 4, 5] and kept.columns == table.columns
+    assert drop_contaminated(table, benchmark.limit(0)).count() == len(rows)
+    assert contaminated(docs([]), benchmark).count() == 0
+
+
+def test_secrets(spark, docs):
+    r = random.Random(3)
+    key = lambda: "AKIA" + "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+    rows = [(i, f"text word {key()} more words") for i in range(60)]
+    rows += [(100 + i, f"write to some.one{i}@mail{i % 7}.example.com today") for i in range(60)]
+    rows += [(200 + i, f'the token = "{r.getrandbits(160):040x}" is set; password={r.getrandbits(72):018x}') for i in range(40)]
+    rows += [(300, None), (301, ""), (None, f"x {key()}"), (302, "word " * 60_000 + key()), (0, rows[0][1])]
+    table = docs(rows).withColumn("probability", F.lit(1)).withColumn("runs", F.lit("x"))
+    found = candidates(table)
+    assert found.count() == 60 + 60 + 80 + 3
+    got = scan(table, reviewed(found)).collect()
+    assert len(got) == 203 and all(x.secret == ("@" not in x.candidate) for x in got)
+    assert {x.position for x in got if x.doc_id == 302} == {60_000}
+    assert all(x.secret for x in scan(table, reviewed(found).limit(0)).collect())
+    assert scan(docs([]), reviewed(found)).count() == 0

@@ -22,7 +22,8 @@ def interleave(documents: DataFrame, shards: int, *, seed: int = 42) -> DataFram
     Within its source a row has a rank by a seeded hash of its doc_id (ties: by text). Its place is
     (rank + u) / rows of the source, u a seeded hash of the source between 0 and 1, so each source is spread evenly over
     the whole order and small sources start at different points. Sorted by place, the rows are cut into shards whose
-    counts differ by one at most; of each source a shard has its share, give or take one row.
+    counts differ by one at most. Between two places each source has its share, give or take one row; that rounding of
+    m sources together can shift a cut by m rows at most, so in a shard by n * m / total rows of a source of n.
 
     A null source is a source, null ids and repeated rows are ranked like others, a null text has size 16. Any source
     may hold most of the rows: ranks and places come from blocks of the hash of about BLOCK_ROWS rows each, and only

@@ -17,7 +17,7 @@ CELLS = 32
 DATA_ROWS = 8192
 QUERY_ROWS = 1024
 EXACT = 1 << 52
-LEAST = -(1 << 62)
+LEAST, MOST = -(1 << 62), (1 << 63) - 1
 
 
 @dataclass
@@ -78,11 +78,13 @@ class Best:
 
 
 def product(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Integer inner products. Doubles hold them exactly below 2**52; larger ones are made of whole numbers."""
+    """Integer inner products. Doubles hold them exactly below 2**52; larger ones are made of whole numbers, and those
+    that no long holds end at LEAST + 1 or MOST."""
     high = float(np.sqrt((q.astype(float) ** 2).sum(1).max(initial=0) * (x.astype(float) ** 2).sum(1).max(initial=0)))
     if high < EXACT:
         return (q.astype(float) @ x.astype(float).T).astype(np.int64)
-    return np.array([[int(sum(int(a) * int(b) for a, b in zip(u, v))) for v in x] for u in q], dtype=np.int64).reshape(len(q), len(x))
+    whole = q.astype(object) @ x.astype(object).T
+    return np.minimum(np.maximum(whole, LEAST + 1), MOST).astype(np.int64)
 
 
 def dual_search(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, best: Best) -> int:
