@@ -181,29 +181,45 @@ def bin_completion(held: dict[int, int], limit: int, nodes: int = 3000) -> Plan:
     bins = lambda plan: sum(n for _, n in plan)
     over_half = sum(n for x, n in held.items() if 2 * x > limit)
     least = max(-(-whole // limit), over_half)
-    best = best_fit(held, limit)
-    left = nodes
-    stack: list[tuple[dict[int, int], Plan, int]] = [(held, [], 0)]
-    while stack and left and bins(best) > least:
-        now, plan, used = stack.pop()
+    best, used, left = best_fit(held, limit), 0, nodes
+    path: Plan = []  # what is taken out of held; undone on the way back, so one table of counts is all that is kept
+
+    def undo() -> None:
+        nonlocal used
+        filling, k = path.pop()
+        used -= k
+        for x in filling:
+            held[x] = held.get(x, 0) + k
+
+    branches = [iter(completions(held, limit))]
+    while branches and left and bins(best) > least:
+        filling = next(branches[-1], None)
+        if filling is None:
+            branches.pop()
+            if path:
+                undo()
+            continue
         left -= 1
-        rest = sum(x * n for x, n in now.items())
-        if used + max(-(-rest // limit), sum(n for x, n in now.items() if 2 * x > limit)) >= bins(best):
+        need = Counter(filling)
+        k = min(held[x] // c for x, c in need.items())
+        path.append((filling, k))
+        used += k
+        for x, c in need.items():
+            held[x] -= k * c
+            if not held[x]:
+                del held[x]
+        rest = sum(x * n for x, n in held.items())
+        if used + max(-(-rest // limit), sum(n for x, n in held.items() if 2 * x > limit)) >= bins(best):
+            undo()
             continue
-        if left % 50 == 0 or len(now) <= 8:
-            tail = best_fit(now, limit)
+        if not held or left % 50 == 0 or len(held) <= 8:
+            tail = best_fit(held, limit)
             if used + bins(tail) < bins(best):
-                best = plan + tail
-        branches = []
-        for filling in completions(now, limit):
-            need = Counter(filling)
-            k = min(now[x] // c for x, c in need.items())
-            then = {x: n - k * need.get(x, 0) for x, n in now.items()}
-            then = {x: n for x, n in then.items() if n}
-            branches.append((then, [*plan, (filling, k)], used + k))
-            if not then and used + k < bins(best):
-                best = branches[-1][1]
-        stack.extend(b for b in reversed(branches) if b[0])
+                best = path + tail
+        if held:
+            branches.append(iter(completions(held, limit)))
+        else:
+            undo()
     return best
 
 
