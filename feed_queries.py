@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.errors import TRANSIENT_CODES
 from tidelog.functions.classify import classify_errors
 from tidelog.functions.redact import redact_properties, redact_values
 from tidelog.functions.rowjson import row_json, timestamp_text
@@ -332,13 +333,15 @@ def q_append_offsets(spark, sf_dir):
 
 
 def q_sink_log_table(spark, sf_dir):
-    """Rows become records, get offsets, land in a log table, and are read back as a feed."""
+    """Rows become records, get offsets, land in a log table by two appends, and are read back as a feed."""
     path = scratch_path(spark, "log")
     orders = _table(spark, sf_dir, "orders")
     write = WriteOptions.parse("orders", {"key": "o_orderkey", "value": "o_orderpriority", "compression": "zstd"})
     records = to_records(orders.withColumn("seq", F.col("o_orderkey")).withColumn(
         "lane", F.pmod("o_custkey", F.lit(8))), write, keep=("seq", "lane"))
-    append_to_log(records, path, write, partition=F.col("lane"), order="seq")
+    early = F.col("seq") % 5 < 2
+    append_to_log(records.where(early), path, write, partition=F.col("lane"), order="seq")
+    append_to_log(records.where(~early), path, write, partition=F.col("lane"), order="seq")
     run = feed_run(load_log(spark, path, "orders"), ReadOptions("orders"))
     return run.envelope.select("topic", "partition", "offset", "key", "value", "headers")
 
@@ -358,6 +361,18 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_events_log(files)
 
 
+def q_incremental_emptied_partition(spark, sf_dir):
+    """Three runs from the latest record; before the second, partition 2 loses all its records for a while."""
+    log = events_log(spark, sf_dir)
+    mid, later = (F.lit(f"2024-01-{d} 00:00:00").cast("timestamp") for d in (15, 22))
+    read = ReadOptions("events", "latest")
+    first = feed_run(log.where(F.col("timestamp") < mid), ReadOptions("events"))
+    second = feed_run(log.where((F.col("timestamp") < later) & (F.col("partition") != 2)), read, first.token_text())
+    third = feed_run(log, read, second.token_text())
+    runs = [run.envelope.select(F.lit(k).alias("run"), "partition", "offset") for k, run in enumerate((first, second, third), 1)]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 def q_stream_feed(spark, sf_dir):
     landed, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "checkpoint")
     stream_feed(_events_stream(spark, sf_dir), landed, checkpoint).awaitTermination()
@@ -430,9 +445,7 @@ def q_stats_floor(spark, sf_dir):
 
 # The codes the delivery reports below cycle through, transient ones first.
 REPORT_CODES = (
-    "Local_Transport", "Local_TimedOut", "Local_AllBrokersDown", "BrokerNotAvailable", "LeaderNotAvailable",
-    "NotLeaderForPartition", "RequestTimedOut", "Local_MsgTimedOut", "NetworkException", "NotEnoughReplicas",
-    "NotEnoughReplicasAfterAppend", "Local_QueueFull", "GroupCoordinatorNotAvailable",
+    *TRANSIENT_CODES,
     "TopicAuthorizationFailed", "SaslAuthenticationFailed", "UnknownTopicOrPart", "OffsetOutOfRange",
     "MsgSizeTooLarge", "Local_Authentication", "Local_MaxPollExceeded",
 )

@@ -67,6 +67,25 @@ def test_latest_lands_nothing_and_remembers(make_log, feed):
     assert feed.landed() == [(0, 2, "c")]
 
 
+def test_an_emptied_partition_keeps_its_place(make_log, feed):
+    latest = ReadOptions("orders", "latest")
+    feed.run(make_log([(0, 6, None, "p"), (1, 3, None, "q")]), ReadOptions("orders"))
+    assert feed.run(make_log([(0, 6, None, "p"), (0, 7, None, "r")]), latest) == 1
+    assert feed.run(make_log([(0, 7, None, "r"), (1, 4, None, "s"), (1, 5, None, "t")]), latest) == 2
+    assert feed.run(make_log([]), latest) == 0
+    assert feed.run(make_log([(1, 6, None, "u")]), latest) == 1
+
+
+def test_appends_go_on_where_the_log_ends(spark, tmp_path):
+    path, write = str(tmp_path / "log"), WriteOptions.parse("orders", {"value": "v"})
+    rows = to_records(spark.createDataFrame([("a", 5, 1), ("b", 9, 1)], "v string, n long, lane int"), write, keep=("n", "lane"))
+    for _ in range(2):
+        append_to_log(rows, path, write, F.col("lane"), "n")
+    assert pairs(load_log(spark, path), "partition", "offset") == [(1, 0), (1, 1), (1, 2), (1, 3)]
+    with pytest.raises(Exception, match="no partition"):
+        append_to_log(rows, path, write, F.lit(None).cast("int"), "n")
+
+
 def test_a_timestamp_start_and_a_partition_added_later(make_log):
     days = [datetime(2026, 1, d) for d in (1, 2, 3)]
     log = make_log([(p, i, None, f"{p}{i}", None, day) for p in (0, 1) for i, day in enumerate(days)])

@@ -92,7 +92,16 @@ def test_the_first_failure_decides(spark):
     reports = spark.createDataFrame([
         ("s", 1, None, None), ("s", 4, "MsgSizeTooLarge", "big"), ("s", 3, "Local_MsgTimedOut", "late"),
         ("fine", 1, None, None)], "session string, seq bigint, code string, reason string")
-    assert [tuple(r) for r in first_failure(reports).collect()] == [("s", 3, "Local_MsgTimedOut", "late", True)]
+    assert sorted(tuple(r) for r in first_failure(reports).collect()) == [
+        ("fine", None, None, None, None), ("s", 3, "Local_MsgTimedOut", "late", True)]
+
+
+def test_ticks_count_by_kind_and_clients_may_be_null(spark):
+    ticks = spark.createDataFrame([
+        ("c", 1, '\n\t{"tx":4}'), ("c", 2, ' {"tx":9}'), ("c", 3, "[1]"), ("c", 4, "no"), (None, 1, '{"tx":2}'),
+        (None, 2, '{"tx":5}')], "client string, seq bigint, stats string")
+    got = {(r.client, r.seq): r.requests for r in tick_deltas(parse_ticks(ticks)).collect()}
+    assert got == {("c", 1): 4, ("c", 2): 5, (None, 1): 2, (None, 2): 3}
 
 
 def test_classification(spark):

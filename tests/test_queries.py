@@ -11,8 +11,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not mounted")
 def test_all_queries_match_their_sql(spark):
-    assert set(driver.oracle_sql()) == set(driver.queries())
-    outcomes = compare(spark, SF)
+    assert set(driver.ORACLES) == set(driver.QUERIES)
+    outcomes = compare(spark, SF, list(driver.QUERIES))
     assert {n: o for n, o in outcomes.items() if not o.startswith("ok")} == {}
 
 

@@ -25,10 +25,10 @@ def _counter(tick: Column, name: str) -> Column:
 def parse_ticks(ticks: DataFrame, column: str = "stats") -> DataFrame:
     """Replace the statistics JSON by its cumulative counters; ticks that are not JSON objects are ignored."""
     kept = [c for c in ticks.columns if c != column]
-    objects = ticks.where(F.ltrim(F.col(column)).startswith("{"))
     # Exploding drops what does not parse. A filter would be pushed down and parse every tick twice.
     tick = F.explode(F.array_compact(F.array(F.try_parse_json(F.col(column)))))
-    return objects.select(*kept, tick.alias("_tick")).select(
+    objects = ticks.select(*kept, tick.alias("_tick")).where(F.schema_of_variant("_tick").startswith("OBJECT"))
+    return objects.select(
         *kept, *[_counter(F.col("_tick"), c).alias(c) for c in COUNTERS])
 
 
@@ -76,10 +76,11 @@ def with_request_floor(clients: DataFrame, totals: DataFrame, client: str = "cli
 
 
 def first_failure(reports: DataFrame, session: str = "session", seq: str = "seq") -> DataFrame:
-    """The failure that decides each write session: its earliest; ``code`` is null on success."""
-    failed = reports.where(F.col("code").isNotNull())
-    first = failed.groupBy(session).agg(F.min_by(F.struct(seq, "code", "reason"), seq).alias("first"))
+    """Every write session with the failure that decides it, its earliest; all but the session is null on success."""
+    when_failed = F.when(F.col("code").isNotNull(), F.col(seq))
+    first = reports.groupBy(session).agg(F.min_by(F.struct(seq, "code", "reason"), when_failed).alias("first"))
+    code = F.col("first.code")
     return first.select(
-        session, F.col(f"first.{seq}").alias(seq), F.col("first.code").alias("code"),
-        F.col("first.reason").alias("reason"), is_transient(F.col("first.code")).alias("transient"),
+        session, F.col(f"first.{seq}").alias(seq), code.alias("code"), F.col("first.reason").alias("reason"),
+        F.when(code.isNotNull(), is_transient(code)).alias("transient"),
     )

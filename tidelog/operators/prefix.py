@@ -25,6 +25,11 @@ def block_of(seq: Column, bits: int = BLOCK_BITS) -> Column:
     return F.coalesce(F.shiftright(seq.cast("bigint"), bits), F.lit(0).cast("bigint"))
 
 
+def _whole_key(keys: Sequence[str]) -> Column:
+    """The keys as one value that is never null itself, so rows whose key is null meet their own block's carry."""
+    return F.struct(*keys)
+
+
 def block_carry(
     partials: DataFrame, keys: Sequence[str], columns: Sequence[str],
     fold: Fold, combine: Combine, bits: int = BLOCK_BITS, top_bits: int = 64 - BLOCK_BITS,
@@ -64,15 +69,15 @@ def dense_rank_in_order(
     only and never the rows.
     """
     zero = F.lit(0).cast("bigint")
-    blocked = df.withColumn("_block", block_of(F.col(seq), bits))
-    partials = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    carry = block_carry(partials, keys, ["_n"], F.sum, _add, bits, 64 - bits)
+    blocked = df.withColumn("_key", _whole_key(keys)).withColumn("_block", block_of(F.col(seq), bits))
+    partials = blocked.groupBy("_key", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    carry = block_carry(partials, ["_key"], ["_n"], F.sum, _add, bits, 64 - bits)
     if starts is not None:
-        carry = carry.join(starts.select(*keys, "start"), list(keys), "left").select(
-            *keys, "_block", _add(F.col("_n"), F.col("start")).alias("_n"))
-    in_block = Window.partitionBy(*keys, "_block").orderBy(seq)
+        carry = carry.join(starts.select(_whole_key(keys).alias("_key"), "start"), "_key", "left").select(
+            "_key", "_block", _add(F.col("_n"), F.col("start")).alias("_n"))
+    in_block = Window.partitionBy("_key", "_block").orderBy(seq)
     local = blocked.withColumn("_rank", F.row_number().over(in_block).cast("bigint") - 1)
-    joined = local.join(carry, [*keys, "_block"])
+    joined = local.join(carry, ["_key", "_block"])
     return joined.select(*df.columns, (F.col("_rank") + F.coalesce("_n", zero)).alias(out))
 
 
@@ -83,13 +88,13 @@ def running_max_before(
 
     ``columns`` maps a column to the name of its running maximum.
     """
-    blocked = df.withColumn("_block", block_of(F.col(seq), bits))
-    partials = blocked.groupBy(*keys, "_block").agg(*[F.max(c).alias(c) for c in columns])
-    carry = block_carry(partials, keys, list(columns), F.max, F.greatest, bits, 64 - bits)
-    carry = carry.select(*keys, "_block", *[F.col(c).alias(f"_carry_{c}") for c in columns])
-    before = Window.partitionBy(*keys, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    blocked = df.withColumn("_key", _whole_key(keys)).withColumn("_block", block_of(F.col(seq), bits))
+    partials = blocked.groupBy("_key", "_block").agg(*[F.max(c).alias(c) for c in columns])
+    carry = block_carry(partials, ["_key"], list(columns), F.max, F.greatest, bits, 64 - bits)
+    carry = carry.select("_key", "_block", *[F.col(c).alias(f"_carry_{c}") for c in columns])
+    before = Window.partitionBy("_key", "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     local = blocked.select("*", *[F.max(c).over(before).alias(f"_local_{c}") for c in columns])
-    joined = local.join(carry, [*keys, "_block"])
+    joined = local.join(carry, ["_key", "_block"])
     return joined.select(
         *df.columns,
         *[F.greatest(f"_local_{c}", f"_carry_{c}").alias(name) for c, name in columns.items()])

@@ -19,6 +19,7 @@ from tidelog.schema import BOUNDS_DDL
 from tidelog.session import local_table, small_rows, snapshot, stage, use_utc
 from tidelog.sources.logs import offsets_at, watermarks
 
+NAMED_PROBLEMS = 1000  # in one refusal
 BOUND_COLUMNS = ("partition", "resume", "bound")
 
 
@@ -35,6 +36,27 @@ class FeedRun:
         return self.token.head()["token"]
 
 
+def with_emptied(marks: DataFrame, token: DataFrame | None) -> DataFrame:
+    """Watermarks seen in data, and for stored partitions that hold no record now, low and high at the stored offset."""
+    if token is None:
+        return marks
+    stored = token.select("partition", "next_offset")
+    return marks.join(stored, "partition", "full").select(
+        "partition", F.coalesce("low", "next_offset").alias("low"), F.coalesce("high", "next_offset").alias("high"))
+
+
+def _start_lookup(log: DataFrame, start, marks: DataFrame, token: DataFrame | None) -> DataFrame | None:
+    """Offsets by time, for a start at an instant and only for partitions without a stored offset."""
+    if not isinstance(start, datetime):
+        return None
+    if token is None:
+        return offsets_at(log, start)
+    new = small_rows(marks.join(token, "partition", "left_anti").select("partition"))
+    if new is None:
+        return offsets_at(log, start)
+    return offsets_at(log.where(F.col("partition").isin([r["partition"] for r in new])), start) if new else None
+
+
 def feed_run(
     log: DataFrame,
     read: ReadOptions,
@@ -45,20 +67,22 @@ def feed_run(
     """Plan a run over ``log`` (one topic) from ``token``, or from ``read.start`` where it has no entry.
 
     ``marks`` are watermarks when a catalogue knows them better than the data does; ``stops`` are
-    (partition, stop_offset) where reading must end early. One small job fixes the bounds; the
-    envelope then scans one slice, split by Spark over as many tasks as the data needs.
+    (partition, stop_offset) where reading must end early. Without ``marks``, a partition that the
+    token knows and the data no longer shows keeps its place. The bounds are fixed before the slice
+    and the token are made of them; the envelope then scans one slice, split by Spark over as many tasks as the data needs.
     """
     spark = use_utc(log.sparkSession)
     if isinstance(token, str) or token is None:
         token = parse_token(spark, token, read.topic)
-    marks = watermarks(log) if marks is None else marks
-    at = offsets_at(log, read.start) if isinstance(read.start, datetime) else None
-    plan = resume_plan(marks, token, read.start, at)
+    if marks is None:
+        marks = snapshot(with_emptied(watermarks(log), token), "marks")
+    plan = resume_plan(marks, token, read.start, _start_lookup(log, read.start, marks, token))
     rows = small_rows(plan)
     if rows is None:
         plan = stage(plan, "plan")
-        refuse_problems(read.topic, plan.where(F.col("problem").isNotNull()).collect())
-        bounds = to_read = effective_bounds(plan.select("partition", "resume", "bound"), stops)
+        named = plan.where(F.col("problem").isNotNull()).orderBy("partition").limit(NAMED_PROBLEMS)
+        refuse_problems(read.topic, named.collect())
+        bounds = to_read = stage(effective_bounds(plan.select("partition", "resume", "bound"), stops), "bounds")
     else:
         refuse_problems(read.topic, rows)
         if not rows:

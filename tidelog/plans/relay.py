@@ -1,27 +1,28 @@
-"""SQL between a feed and a sink, in one Spark job."""
+"""A projection between a feed and a sink."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidelog.options import WriteOptions
 from tidelog.sinks.records import to_records
 
-RELAY_SQL = """
-select `offset` as id, get_json_object(value, '$.{field}') as name, `timestamp` as seen_at
-from {{feed}}
-order by `partition`, `offset`
-"""
+
+def projected(landed: DataFrame, field: str = "name") -> DataFrame:
+    """(id, name, seen_at) of the envelope, in no order. ``field`` is a member of the value's JSON object."""
+    return landed.select(
+        F.col("offset").alias("id"), F.get_json_object("value", f"$.{field}").alias("name"), F.col("timestamp").alias("seen_at"))
 
 
 def relay(landed: DataFrame, field: str = "name") -> DataFrame:
-    """Project the envelope to (id, name, seen_at) in log order.
+    """The projection in log order.
 
     The order is a range sort on (partition, offset), so a hot partition spreads over many tasks.
     """
-    return landed.sparkSession.sql(RELAY_SQL.format(field=field), feed=landed)
+    return projected(landed.orderBy("partition", "offset"), field)
 
 
 def relay_records(landed: DataFrame, topic: str, field: str = "name") -> DataFrame:
-    """The relay as records: id as key, the rest as the value's JSON object."""
-    return to_records(relay(landed, field), WriteOptions.parse(topic, {"key": "id"}))
+    """The relay as records: id as key, the rest as the value's JSON object. A log orders them itself, so none is made here."""
+    return to_records(projected(landed, field), WriteOptions.parse(topic, {"key": "id"}))

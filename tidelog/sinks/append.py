@@ -51,12 +51,15 @@ def append_to_log(
 ) -> WriteResult:
     """Append ``records`` (of to_records) to the log table at ``path``. One writer at a time.
 
-    Without ``order`` the rows are staged once with a running id, so numbering cannot see two
+    Numbers go on from ``highs``, by default from those of the log at ``path``. A record without a
+    partition fails the job. Without ``order`` the rows are staged once with a running id, so numbering cannot see two
     different orders. Files hold one offset range each, which lets slices skip them. A job that
     fails commits no file, and the caller stores its state only after this returns.
     """
     spark = records.sparkSession
-    rows = records.withColumn("partition", partition.cast("int")).withColumn(
+    highs = log_highs(spark, path, write.topic) if highs is None else highs
+    nowhere = F.raise_error(F.lit("a record has no partition: the partition column gave null")).cast("int")
+    rows = records.withColumn("partition", F.coalesce(partition.cast("int"), nowhere)).withColumn(
         "timestamp", F.current_timestamp() if timestamp is None else timestamp.cast("timestamp"))
     if order is None:
         rows, order = stage(rows.withColumn("_order", F.monotonically_increasing_id()), "append"), "_order"

@@ -62,6 +62,8 @@ def stream_land(
     late. A batch lands in its own folder, replaced when the batch runs again, and is judged by the
     token stored before it, so a retry gives the same rows. The three paths belong together.
     """
+    if read.start != "earliest":
+        raise FeedRefused(f"topic '{read.topic}': a stream lands from the earliest record; set 'start' on its source instead")
     use_utc(log.sparkSession)
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
@@ -86,13 +88,17 @@ def stream_land(
 
 
 def stream_append(
-    rows: DataFrame, path: str, checkpoint: str, write: WriteOptions, partition: Column, order: str | None = None
+    rows: DataFrame, path: str, checkpoint: str, write: WriteOptions, partition: Column, order: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """Append each batch of a stream to a log table, at least once, numbering on from its high watermarks."""
+    """Append each batch of a stream to a log table, at least once, numbering on from its high watermarks.
+
+    ``partition`` may use the record's key and the columns of ``rows`` named in ``keep``.
+    """
     def append_batch(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
-        keep = () if order is None else (order,)
-        append_to_log(to_records(batch, write, keep), path, write, partition, order, log_highs(spark, path, write.topic))
+        kept = tuple(dict.fromkeys((*keep, *(() if order is None else (order,)))))
+        append_to_log(to_records(batch, write, kept), path, write, partition, order, log_highs(spark, path, write.topic))
 
     return (
         rows.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
