@@ -154,8 +154,8 @@ select 'orders' as topic, '{{"v":1,"topic":"orders","partitions":{{'
 select event_id, cast(null as varchar) as problem, 10 as "partition", event_id as next_offset
 from events where event_type = 'view'
 union all select event_id, null, 2, user_id from events where event_type = 'view'
-union all select event_id, case event_type when 'click' then 'other topic' when 'signup' then 'version 2, expected 1'
-  when 'purchase' then 'bad partition entry' else 'not JSON' end, null, null from events where event_type <> 'view'""",
+union all select event_id, case event_type when 'click' then 'of another topic' when 'signup' then 'of version 2 instead of 1'
+  when 'purchase' then 'holds an entry that is no partition with an offset' else 'no JSON value' end, null, null from events where event_type <> 'view'""",
     "headers_json": f"""with {EV} select part as "partition", off as "offset", {HEADERS} as headers from ev""",
     "payload_base64": """
 select cast(conv_id % 3 as integer) as "partition", conv_id * 1048576 + turn as "offset",

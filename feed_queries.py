@@ -29,7 +29,7 @@ from tidelog.plans.relay import relay
 from tidelog.session import scratch_path, use_utc
 from tidelog.sinks.append import append_offsets, append_to_log
 from tidelog.sinks.records import to_records
-from tidelog.sources.logs import as_log, discover_partitions, header, load_log, offsets_at, spread, watermarks
+from tidelog.sources.logs import as_log, discover_partitions, header, load_log, offsets_at, watermarks
 from tidelog.streaming.stream import stream_feed, stream_land
 
 MIDMONTH = datetime(2024, 1, 15, tzinfo=timezone.utc)
@@ -53,11 +53,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for work on every row; its one small file is spread over the cores."""
-    return spread(_table(spark, sf_dir, name))
-
-
 def _event_headers() -> Column:
     """A plain header, one that clicks repeat, one that is sometimes null, one that is not text."""
     second = F.when(_type() == "click", "id").otherwise("event")
@@ -79,8 +74,8 @@ def _as_events_log(events: DataFrame, value: Column | None = None, key: Column |
     )
 
 
-def events_log(spark: SparkSession, sf_dir: str, table=_table) -> DataFrame:
-    return _as_events_log(table(spark, sf_dir, "events"))
+def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_events_log(_table(spark, sf_dir, "events"))
 
 
 def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +89,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversations_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A turn's offset keeps conversations apart and turns in order."""
     return as_log(
-        _rows(spark, sf_dir, "conversations"), "conversations", F.pmod("conv_id", F.lit(3)),
+        _table(spark, sf_dir, "conversations"), "conversations", F.pmod("conv_id", F.lit(3)),
         F.shiftleft("conv_id", 20) + F.col("turn"), F.lit("2024-01-01 00:00:00"),
         key=F.col("conv_id").cast("string"), value=F.col("text"),
     )
@@ -118,13 +113,14 @@ def _record_text(records: DataFrame, *extra: str) -> DataFrame:
 
 
 def q_relay(spark, sf_dir):
-    log = events_log(spark, sf_dir, _rows)
+    log = events_log(spark, sf_dir)
     run = feed_run(log, ReadOptions("events"))
-    return relay(run.envelope, "k").withColumn("seen_at", timestamp_text(F.col("seen_at")))
+    return relay(run.envelope, {
+        "id": F.col("offset"), "name": F.get_json_object("value", "$.k"), "seen_at": timestamp_text(F.col("timestamp"))})
 
 
 def q_envelope(spark, sf_dir):
-    return _shown(envelope(events_log(spark, sf_dir, _rows)))
+    return _shown(envelope(events_log(spark, sf_dir)))
 
 
 def q_feed_slice(spark, sf_dir):
@@ -192,7 +188,7 @@ def q_bound_problems(spark, sf_dir):
     token = kept.join(_token_at(log, MIDMONTH), "partition").select("partition", stored.alias("next_offset"))
     return bound_problems(kept, token).select(
         "partition", "stored", "low", "high",
-        F.when(F.col("problem").contains("below the earliest"), "retention").otherwise("reset").alias("problem"))
+        F.when(F.col("stored") < F.col("low"), "retention").otherwise("reset").alias("problem"))
 
 
 def q_effective_bounds(spark, sf_dir):
@@ -238,13 +234,13 @@ def q_token_parse(spark, sf_dir):
             '{"v":1,"topic":"events","partitions":{"0":%d,"1":-%d}}', F.col("event_id"), _user() + 1))
         .otherwise(F.format_string("not json %d", "event_id"))
     )
-    tokens = _rows(spark, sf_dir, "events").select("event_id", text.alias("token"))
+    tokens = _table(spark, sf_dir, "events").select("event_id", text.alias("token"))
     return parse_tokens(tokens, topic="events").select(
         "event_id", "problem", F.explode_outer("partitions").alias("partition", "next_offset"))
 
 
 def q_headers_json(spark, sf_dir):
-    return envelope(events_log(spark, sf_dir, _rows)).select("partition", "offset", "headers")
+    return envelope(events_log(spark, sf_dir)).select("partition", "offset", "headers")
 
 
 def q_payload_base64(spark, sf_dir):
@@ -258,16 +254,16 @@ def q_utf8_rejects(spark, sf_dir):
                    ).otherwise(F.encode(text, "UTF-8"))
     key = F.when(_type() == "signup", F.lit(bytes([0xED, 0xA0, 0x80]))
                  ).otherwise(F.encode(_user().cast("string"), "UTF-8"))
-    return utf8_rejects(_as_events_log(_rows(spark, sf_dir, "events"), value, key))
+    return utf8_rejects(_as_events_log(_table(spark, sf_dir, "events"), value, key))
 
 
 def q_row_json(spark, sf_dir):
-    orders = _rows(spark, sf_dir, "orders")
+    orders = _table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", row_json(orders).alias("value"))
 
 
 def q_row_json_decimal(spark, sf_dir):
-    orders = _rows(spark, sf_dir, "orders").select(
+    orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").cast("decimal(38,9)").alias("price"))
     return orders.select("o_orderkey", row_json(orders).alias("value"))
 
@@ -279,14 +275,14 @@ def q_row_json_nonfinite(spark, sf_dir):
         .when(_type() == "click", F.lit(float("-inf")))
         .otherwise(F.col("value"))
     )
-    rows = _rows(spark, sf_dir, "events").select("event_id", number.alias("value"))
+    rows = _table(spark, sf_dir, "events").select("event_id", number.alias("value"))
     return rows.select("event_id", row_json(rows).alias("json"))
 
 
 def q_row_json_nested(spark, sf_dir):
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     returned = F.col("l_returnflag") == "R"
-    rows = _rows(spark, sf_dir, "lineitem").select(
+    rows = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.when(~returned, F.struct(
             F.col("l_quantity").alias("quantity"), price.alias("price"),
@@ -300,24 +296,24 @@ def q_row_json_nested(spark, sf_dir):
 
 
 def q_sink_records(spark, sf_dir):
-    orders = _rows(spark, sf_dir, "orders")
+    orders = _table(spark, sf_dir, "orders")
     return _record_text(to_records(orders, WriteOptions.parse("orders_out", {"topic": "orders-out"})))
 
 
 def q_sink_value_column(spark, sf_dir):
-    events = _rows(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     write = WriteOptions.parse("events_out", {"key": "event_id", "value": "props"})
     return _record_text(to_records(events, write))
 
 
 def q_sink_key_headers(spark, sf_dir):
-    events = _rows(spark, sf_dir, "events").withColumn("note", F.when(_type() != "view", _type()))
+    events = _table(spark, sf_dir, "events").withColumn("note", F.when(_type() != "view", _type()))
     write = WriteOptions.parse("events_out", {"key": "user_id", "headers": ["ts", "note", "event_id"]})
     return _record_text(to_records(events, write))
 
 
 def q_sink_tombstones(spark, sf_dir):
-    events = _rows(spark, sf_dir, "events").select(
+    events = _table(spark, sf_dir, "events").select(
         "event_id", F.when(_type() != "error", F.col("props")).alias("payload"))
     return _record_text(to_records(events, WriteOptions.parse("events_out", {"key": "event_id", "value": "payload"})))
 
@@ -348,7 +344,7 @@ def q_sink_log_table(spark, sf_dir):
 
 def q_incremental_two_runs(spark, sf_dir):
     """A run over what was there by mid-month, then one from its token: together the whole log."""
-    log = events_log(spark, sf_dir, _rows)
+    log = events_log(spark, sf_dir)
     first = feed_run(log.where(F.col("timestamp") < F.lit(MIDMONTH)), ReadOptions("events"))
     second = feed_run(log, ReadOptions("events"), token=first.token_text())
     landed = first.envelope.withColumn("run", F.lit(1)).unionByName(second.envelope.withColumn("run", F.lit(2)))
@@ -399,14 +395,14 @@ def q_consumer_lag(spark, sf_dir):
 
 def q_dedupe(spark, sf_dir):
     """A run that landed, and its retry that landed everything from mid-month on again."""
-    log = events_log(spark, sf_dir, _rows)
+    log = events_log(spark, sf_dir)
     again = log.where(F.col("timestamp") >= F.lit(MIDMONTH))
     landed = envelope(log).unionByName(envelope(again))
     return _shown(dedupe_redelivered(landed)).drop("headers")
 
 
 def q_compacted_view(spark, sf_dir):
-    events = _rows(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     log = _as_events_log(events, value=F.when(_type() != "error", F.col("props")))
     return compacted_view(log).select(
         "partition", "offset", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
@@ -415,7 +411,7 @@ def q_compacted_view(spark, sf_dir):
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative client statistics, one tick per event; each event type has its own damage."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    events = _rows(spark, sf_dir, "events").withColumn("k", k)
+    events = _table(spark, sf_dir, "events").withColumn("k", k)
     tx, sent = F.expr("event_id div 10 + k"), F.expr("event_id * 100 + k * 1000")
     received = F.expr("event_id * 50 + k * 700")
     stats = (
@@ -456,7 +452,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = F.array(*[F.lit(c) for c in REPORT_CODES])
     k = F.get_json_object("props", "$.k").cast("int")
     failed = _type().isin("error", "signup")
-    return _rows(spark, sf_dir, "events").select(
+    return _table(spark, sf_dir, "events").select(
         _user().alias("session"), F.col("event_id").alias("seq"),
         F.when(failed, F.element_at(codes, F.pmod(k, F.lit(len(REPORT_CODES))) + 1)).alias("code"),
         F.when(failed, F.concat(_type(), F.lit(" at "), F.col("event_id").cast("string"))).alias("reason"))
@@ -471,7 +467,7 @@ def q_classify_errors(spark, sf_dir):
 
 
 def q_redact_values(spark, sf_dir):
-    return _rows(spark, sf_dir, "documents").select("doc_id", redact_values(F.col("text"), SECRETS).alias("text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", redact_values(F.col("text"), SECRETS).alias("text"))
 
 
 def q_redact_properties(spark, sf_dir):
@@ -479,7 +475,7 @@ def q_redact_properties(spark, sf_dir):
     dump = F.concat(
         F.replace("text", F.lit("token = "), F.lit("sasl.password=")), F.lit(" ssl.key.password="), F.col("source"),
         F.lit(", ssl.keystore.password="), F.col("lang"), F.lit("; bootstrap.servers=b:9092"))
-    return _rows(spark, sf_dir, "documents").select("doc_id", redact_properties(dump).alias("text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", redact_properties(dump).alias("text"))
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")}

@@ -27,40 +27,40 @@ def listed(bounds):
 
 
 def test_earliest_starts_low_and_an_empty_partition_is_finished(spark):
-    bounds = read_bounds(marks(spark, (1, 0, 0), (0, 10, 50)))
-    assert listed(bounds) == [(0, 10, 50), (1, 0, 0)]
-    assert listed(unfinished(bounds)) == [(0, 10, 50)]
+    bounds = read_bounds(marks(spark, (1, 3, 3), (0, 17, 61)))
+    assert listed(bounds) == [(0, 17, 61), (1, 3, 3)]
+    assert listed(unfinished(bounds)) == [(0, 17, 61)]
 
 
 def test_latest_starts_high(spark):
-    assert listed(read_bounds(marks(spark, (0, 10, 50)), start="latest")) == [(0, 50, 50)]
+    assert listed(read_bounds(marks(spark, (0, 12, 57)), start="latest")) == [(0, 57, 57)]
 
 
-@pytest.mark.parametrize("found, resume", [(30, 30), (3, 10), (99, 50), (-1, 50), (None, 50)])
+@pytest.mark.parametrize("found, resume", [(31, 31), (4, 12), (80, 57), (-1, 57), (None, 57)])
 def test_timestamp_start_is_clamped_and_unresolved_means_high(spark, found, resume):
     at = spark.createDataFrame([(0, found)], "partition int, at bigint")
-    assert listed(read_bounds(marks(spark, (0, 10, 50)), start=WHEN, at=at)) == [(0, resume, 50)]
+    assert listed(read_bounds(marks(spark, (0, 12, 57)), start=WHEN, at=at)) == [(0, resume, 57)]
 
 
 def test_partition_missing_from_the_timestamp_lookup_starts_high(spark):
-    at = spark.createDataFrame([(0, 30)], "partition int, at bigint")
-    bounds = read_bounds(marks(spark, (0, 10, 50), (1, 0, 20)), start=WHEN, at=at)
-    assert listed(bounds) == [(0, 30, 50), (1, 20, 20)]
+    at = spark.createDataFrame([(0, 33)], "partition int, at bigint")
+    bounds = read_bounds(marks(spark, (0, 12, 57), (1, 2, 26)), start=WHEN, at=at)
+    assert listed(bounds) == [(0, 33, 57), (1, 26, 26)]
 
 
 def test_stored_offset_wins_and_new_partitions_use_the_start(spark):
-    bounds = read_bounds(marks(spark, (0, 10, 50), (1, 0, 7)), token(spark, {0: 20}), start="latest")
-    assert listed(bounds) == [(0, 20, 50), (1, 7, 7)]
+    bounds = read_bounds(marks(spark, (0, 12, 57), (1, 0, 7)), token(spark, {0: 29}), start="latest")
+    assert listed(bounds) == [(0, 29, 57), (1, 7, 7)]
 
 
 def test_stored_offsets_on_either_edge_are_fine(spark):
-    bounds = read_bounds(marks(spark, (0, 10, 50), (1, 10, 50)), token(spark, {0: 10, 1: 50}))
-    assert listed(bounds) == [(0, 10, 50), (1, 50, 50)]
+    bounds = read_bounds(marks(spark, (0, 12, 57), (1, 12, 57)), token(spark, {0: 12, 1: 57}))
+    assert listed(bounds) == [(0, 12, 57), (1, 57, 57)]
 
 
 def test_every_problem_is_in_one_refusal(spark):
     problems = bound_problems(
-        marks(spark, (0, 10, 50), (1, 0, 5), (2, 0, 5)), token(spark, {0: 9, 1: 6, 2: 3}))
+        marks(spark, (0, 12, 57), (1, 0, 5), (2, 0, 5)), token(spark, {0: 9, 1: 6, 2: 3}))
     assert pairs(problems, "partition", "stored") == [(0, 9), (1, 6)]
     with pytest.raises(FeedRefused) as refusal:
         refuse_problems("orders", problems.collect())
@@ -86,7 +86,7 @@ def test_effective_bounds_shorten_open_partitions_only(spark):
 def test_retention_during_the_read_is_refused(spark):
     planned = spark.createDataFrame([(0, 3, 9), (1, 5, 5)], BOUNDS_DDL)
     check_after_read("orders", planned, marks(spark, (0, 3, 20), (1, 7, 20)))
-    with pytest.raises(FeedRefused, match="partition 0.*no longer available"):
+    with pytest.raises(FeedRefused, match="partition 0.*retention.*offset 3"):
         check_after_read("orders", planned, marks(spark, (0, 4, 20), (1, 7, 20)))
 
 
@@ -113,5 +113,5 @@ def test_offsets_at_takes_the_earliest_offset_not_the_earliest_time(make_log):
 def test_partitions_of_a_missing_topic(make_log):
     log = make_log([(0, 0), (4, 1)])
     assert pairs(discover_partitions(log, "orders"), "topic", "partition") == [("orders", 0), ("orders", 4)]
-    with pytest.raises(FeedRefused, match="'nope' does not exist"):
+    with pytest.raises(FeedRefused, match="'nope'"):
         discover_partitions(log, "nope")

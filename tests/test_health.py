@@ -27,11 +27,11 @@ def ticks(spark, *rows):
 
 def test_ticks_are_cumulative(spark):
     told = ticks(
-        spark, ("a", 1, '{"tx":4,"rx":6,"tx_bytes":400,"rx_bytes":600}'),
-        ("a", 2, '{"tx":10,"rx":9,"tx_bytes":1000,"rx_bytes":900}'))
+        spark, ("a", 1, '{"tx":3,"rx":2,"tx_bytes":70,"rx_bytes":55}'),
+        ("a", 2, '{"tx":11,"rx":5,"tx_bytes":250,"rx_bytes":95}'))
     deltas = tick_deltas(parse_ticks(told))
-    assert pairs(deltas, "seq", "requests", "wire_bytes") == [(1, 4, 1000), (2, 6, 900)]
-    assert pairs(stats_totals(parse_ticks(told)), "client", "requests", "wire_bytes") == [("a", 10, 1900)]
+    assert pairs(deltas, "seq", "requests", "wire_bytes") == [(1, 3, 125), (2, 8, 220)]
+    assert pairs(stats_totals(parse_ticks(told)), "client", "requests", "wire_bytes") == [("a", 11, 345)]
 
 
 def test_a_counter_that_falls_back_adds_nothing(spark):
@@ -116,7 +116,7 @@ def masked(spark, text, how):
 
 
 def test_known_secrets_are_masked_everywhere_longest_first(spark):
-    assert masked(spark, "a s3cret b other c s3cret", lambda t: redact_values(t, ["s3cret", "other"])) == "a *** b *** c ***"
+    assert masked(spark, "kelp, reef and kelp", lambda t: redact_values(t, ["reef", "kelp"])) == "***, *** and ***"
     assert masked(spark, "abcdef abc", lambda t: redact_values(t, ["abc", "abcdef", "abc"])) == "*** ***"
     assert usable_secrets(["ab", "", "abc", "abcd", "abc"]) == ["abcd", "abc"]
     assert masked(spark, "a.c abc", lambda t: redact_values(t, ["a.c"])) == "*** abc"
@@ -124,8 +124,8 @@ def test_known_secrets_are_masked_everywhere_longest_first(spark):
 
 
 @pytest.mark.parametrize("text, wanted", [
-    ('conf: sasl.password=abc ssl.key.password="d e", bootstrap.servers=b:9092',
-     "conf: sasl.password=*** ssl.key.password=***, bootstrap.servers=b:9092"),
+    ('client.id=me;ssl.key.password="two words" then sasl.password=kelp',
+     "client.id=me;ssl.key.password=*** then sasl.password=***"),
     ("ssl.keystore.password=x;sasl.oauthbearer.client.secret=y,z",
      "ssl.keystore.password=***;sasl.oauthbearer.client.secret=***,z"),
     ("saslxpassword=abc xsasl.password=abc sasl.password=", "saslxpassword=abc xsasl.password=abc sasl.password="),

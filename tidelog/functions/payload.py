@@ -23,7 +23,7 @@ def strict_text(raw: Column, field: str) -> Column:
     refusal = F.raise_error(F.concat(
         F.lit("topic '"), F.col("topic"), F.lit("' partition "), F.col("partition").cast("string"),
         F.lit(" offset "), F.col("offset").cast("string"),
-        F.lit(f": the record {field} is not valid UTF-8; read with encoding base64 to land raw bytes"),
+        F.lit(f": its {field} holds bytes that are no UTF-8 text; encoding base64 would land them"),
     ))
     return F.when(is_text(raw), raw.cast("string")).otherwise(refusal.cast("string"))
 

@@ -60,15 +60,15 @@ def parse_tokens(tokens: DataFrame, column: str = "token", topic: str | None = N
         "_entries", lambda e: e["partition"].isNull() | e["next_offset"].isNull() | (e["next_offset"] < 0)
     )
     problem = (
-        F.when(~F.col("_json"), F.lit("not JSON"))
-        .when(F.col("_v").isNull(), F.lit("missing version"))
+        F.when(~F.col("_json"), F.lit("no JSON value"))
+        .when(F.col("_v").isNull(), F.lit("states no version"))
         .when(F.col("_v") != TOKEN_VERSION,
-              F.format_string(f"version %d, expected {TOKEN_VERSION}", F.col("_v")))
-        .when(F.col("_topic").isNull() | F.col("_entries").isNull(), F.lit("missing topic or partitions"))
+              F.format_string(f"of version %d instead of {TOKEN_VERSION}", F.col("_v")))
+        .when(F.col("_topic").isNull() | F.col("_entries").isNull(), F.lit("lacks topic or partitions"))
     )
     if topic is not None:
-        problem = problem.when(F.col("_topic") != topic, F.lit("other topic"))
-    problem = problem.when(bad_entry, F.lit("bad partition entry"))
+        problem = problem.when(F.col("_topic") != topic, F.lit("of another topic"))
+    problem = problem.when(bad_entry, F.lit("holds an entry that is no partition with an offset"))
     judged = parsed.withColumn("problem", problem)
     entries = F.col("_entries")
     last_wins = F.aggregate(
@@ -105,7 +105,6 @@ def parse_token(spark: SparkSession, text: str | None, topic: str) -> DataFrame
     row = parsed.select("partitions", "problem").head()
     if row["problem"] is not None:
         raise FeedRefused(
-            f"topic '{topic}': the stored state is not a usable offset token ({row['problem']}); "
-            "drop it to start over from 'start'"
+            f"topic '{topic}': its token is unusable ({row['problem']}). Remove it and let 'start' decide"
         )
     return local_table(spark, sorted(row["partitions"].items()), TOKEN_DDL)

@@ -86,7 +86,7 @@ def feed_run(
     else:
         refuse_problems(read.topic, rows)
         if not rows:
-            raise FeedRefused(f"topic '{read.topic}' does not exist; create it or fix the 'topic' option")
+            raise FeedRefused(f"no topic '{read.topic}' here; check the 'topic' option")
         to_read = sorted((Row(**{c: r[c] for c in BOUND_COLUMNS}) for r in rows), key=lambda r: r["partition"])
         bounds = local_table(spark, to_read, BOUNDS_DDL)
         if stops is not None:
@@ -101,7 +101,7 @@ def feed_run(
 def _naming_the_record(error: PySparkException) -> FeedRefused | None:
     """A strict-text refusal raised inside a task, as the one exception callers know."""
     message = str(error)
-    if "is not valid UTF-8" not in message or "topic '" not in message:
+    if "bytes that are no UTF-8 text" not in message or "topic '" not in message:
         return None
     start = message.index("topic '")
     return FeedRefused(message[start:].splitlines()[0])

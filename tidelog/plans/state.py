@@ -1,4 +1,4 @@
-"""Stored tokens: an append-only table, so a crash leaves the old token or the new one, never none."""
+"""Stored tokens: the two newest of each topic, in turns, so a crash leaves the old one or the new one, never none."""
 
 from __future__ import annotations
 
@@ -6,13 +6,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STATE_DDL = "topic string, token string, run bigint"
+STATE_DDL = "token string, run bigint, topic string, slot int"
+SLOTS = 2
 
 
 def store_token(token: DataFrame, path: str, run: int) -> None:
-    """Append the token of run number ``run``; call it after the slice has landed."""
-    stored = token.select("topic", "token", F.lit(run).cast("bigint").alias("run"))
-    stored.coalesce(1).write.mode("append").parquet(path)
+    """Put the token of run number ``run`` in the place of the last but one; call it after the slice has landed."""
+    stored = token.select(
+        "token", F.lit(run).cast("bigint").alias("run"), "topic", F.lit(run % SLOTS).cast("int").alias("slot"))
+    (
+        stored.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("topic", "slot").parquet(path)
+    )
 
 
 def stored_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -38,16 +38,6 @@ def as_log(
     )
 
 
-def spread(df: DataFrame, tasks: int = 32) -> DataFrame:
-    """Use more cores, ``tasks`` at most, on an input of few splits such as one small file.
-
-    Costs a round-robin shuffle of an input that is small by that very test. An input with enough
-    splits is left alone, so nothing changes at scale.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, tasks)
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
-
-
 def header(name: str | Column, value: Column) -> Column:
     """One header of a record; put several in ``F.array``."""
     return F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
@@ -63,7 +53,7 @@ def discover_partitions(log: DataFrame, topic: str) -> DataFrame:
     """The topic's partitions; a topic without any is refused by name."""
     found = log.where(F.col("topic") == topic).select("topic", "partition")
     if not found.head(1):
-        raise FeedRefused(f"topic '{topic}' does not exist; create it or fix the 'topic' option")
+        raise FeedRefused(f"no topic '{topic}' here; check the 'topic' option")
     return found.distinct()
 
 

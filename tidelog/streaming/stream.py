@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.errors import FeedRefused
-from tidelog.operators.reading import RECORD_ID, dedupe_redelivered, envelope
+from tidelog.operators.reading import RECORD_ID, dedupe_redelivered, envelope, read_slice
 from tidelog.operators.token import advance_token, parse_token
 from tidelog.options import ReadOptions, WriteOptions
 from tidelog.plans.state import load_token, store_token
-from tidelog.session import use_utc
+from tidelog.schema import ENVELOPE_SCHEMA
+from tidelog.session import snapshot, use_utc
 from tidelog.sinks.append import append_to_log, log_highs
 from tidelog.sinks.records import to_records
 
+LANDED_SCHEMA = T.StructType([*ENVELOPE_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
+
 
 def stream_feed(log: DataFrame, landed_path: str, checkpoint: str, encoding: str = "utf8") -> StreamingQuery:
     """Land what exists when the run starts, then stop; the next run lands only what came since.
@@ -34,7 +38,7 @@ def _unseen(batch: DataFrame, stored: DataFrame | None, landed_path: str, batch_
     """The batch's records that no earlier batch landed, each once.
 
     Records at or past the stored offsets are new. Older ones are copies or came late; only they are
-    looked up in the landed table, in their own range of offsets.
+    looked up in the landed table, each partition's in its own range of offsets.
     """
     once = dedupe_redelivered(batch)
     if stored is None:
@@ -42,14 +46,13 @@ def _unseen(batch: DataFrame, stored: DataFrame | None, landed_path: str, batch_
     marked = once.join(stored, "partition", "left").withColumn(
         "_old", F.coalesce(F.col("offset") < F.col("next_offset"), F.lit(False)))
     old = marked.where("_old").select(*batch.columns)
-    low, high = old.agg(F.min("offset"), F.max("offset")).head()
+    ranges = snapshot(
+        old.groupBy("partition").agg(F.min("offset").alias("resume"), (F.max("offset") + 1).alias("bound")), "late")
     new = marked.where("not _old").select(*batch.columns)
-    if low is None:
+    if ranges.isEmpty():
         return new
-    earlier = (
-        batch.sparkSession.read.parquet(landed_path)
-        .where(F.col("offset").between(low, high) & (F.col("batch_id") < batch_id)).select(*RECORD_ID)
-    )
+    landed = batch.sparkSession.read.schema(LANDED_SCHEMA).parquet(landed_path).where(F.col("batch_id") < batch_id)
+    earlier = read_slice(landed, ranges).select(*RECORD_ID)
     return new.unionByName(old.join(earlier, RECORD_ID, "left_anti").select(*batch.columns))
 
 
