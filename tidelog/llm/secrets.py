@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import share_of, staged
+from tidelog.session import scratch_path
 
 CANDIDATE = r"^[A-Za-z0-9_+/=.@:~-]{12,}$"
 WRAPPING = r"""^[\s"'`(<\[{,;]+|[\s"'`)>\]},;.!?]+$"""
@@ -97,7 +98,12 @@ def train_forest(labelled: DataFrame, *, max_rows: int = 20_000, trees: int = 24
     drawn = staged(described(rows.filter(share_of(n, max_rows, F.col("candidate"), seed))).select(
         *[f"f_{k}" for k in FEATURES], F.col("real").cast("double").alias("real")))
     forest = RandomForestClassifier(featuresCol="forest_in", labelCol="real", numTrees=trees, maxDepth=depth, seed=seed)
-    return forest.fit(VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="forest_in").transform(drawn))
+    fitted = forest.fit(VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="forest_in").transform(drawn))
+    # A fitted model holds its training summary, which holds the session, which no task can take once anything in the
+    # session was observed. A stored model is the trees alone.
+    path = scratch_path(labelled.sparkSession, "forest")
+    fitted.save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan(documents: DataFrame, labelled: DataFrame, path: str = "source", threshold: float = 0.5) -> DataFrame:
