@@ -30,7 +30,3 @@ def make_log(spark):
                 lambda b: None if b is None else bytearray(b), as_bytes), headers))
         return spark.createDataFrame(full, LOG_SCHEMA)
     return build
-
-
-def pairs(df, *columns):
-    return sorted(tuple(r[c] for c in columns) for r in df.collect())

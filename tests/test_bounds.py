@@ -1,8 +1,8 @@
 from datetime import datetime, timezone
 
 import pytest
-from conftest import pairs
 
+from rows import pairs
 from tidelog.errors import FeedRefused
 from tidelog.operators.bounds import (
     bound_problems, check_after_read, consumer_lag, effective_bounds, read_bounds, refuse_problems,

@@ -2,9 +2,9 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import pairs
 from pyspark.errors import PySparkException
 
+from rows import pairs
 from tidelog.functions.rowjson import timestamp_text
 from tidelog.operators.reading import (
     compacted_view, dedupe_redelivered, envelope, landed_counts, offset_gaps, read_slice, utf8_rejects,

@@ -1,9 +1,9 @@
 from datetime import datetime
 
 import pytest
-from conftest import pairs
 from pyspark.sql import functions as F
 
+from rows import pairs
 from tidelog.errors import FeedRefused
 from tidelog.options import ReadOptions, WriteOptions
 from tidelog.plans.feed import feed_run, land

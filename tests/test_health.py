@@ -1,9 +1,9 @@
 import random
 
 import pytest
-from conftest import pairs
 from pyspark.sql import functions as F
 
+from rows import pairs
 from tidelog.errors import TRANSIENT_CODES
 from tidelog.functions.classify import classify_errors
 from tidelog.functions.redact import redact, redact_properties, redact_values, usable_secrets

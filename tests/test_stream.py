@@ -1,10 +1,10 @@
 import json
 
 import pytest
-from conftest import pairs
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from rows import pairs
 from tidelog.operators.reading import envelope
 from tidelog.options import ReadOptions, WriteOptions
 from tidelog.plans.state import load_token

@@ -1,6 +1,6 @@
 import pytest
-from conftest import pairs
 
+from rows import pairs
 from tidelog.errors import FeedRefused
 from tidelog.operators.token import advance_token, parse_token, parse_tokens, token_offsets
 from tidelog.schema import BOUNDS_DDL
