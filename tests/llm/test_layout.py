@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import sharding, topk
 from tidelog.llm.common import components
-from tidelog.llm.packing import TokenBytes, best_fit, bin_completion, pack, public_tokenizer
+from tidelog.llm.packing import TokenBytes, best_fit, bin_completion, completions, pack, public_tokenizer
 from tidelog.llm.sharding import interleave
 from tidelog.llm.topk import exact_top_k
 
@@ -68,6 +68,24 @@ def test_bin_completion_finds_the_fewest(items):
     assert used == Counter(items) and sum(n for _, n in plan) == fewest(items, 20)
 
 
+def test_fillings_of_many_short_pieces():
+    for held in ({1: 5000}, {24: 3, 1: 5000}, {x: 2000 for x in range(1, 25)}):
+        for filling in completions(dict(held), 1024):
+            assert sum(filling) <= 1024 and all(held[x] >= c for x, c in Counter(filling).items())
+        plan = bin_completion(dict(held), 1024)
+        used = Counter()
+        for filling, n in plan:
+            used.update({x: c * n for x, c in Counter(filling).items()})
+        assert used == Counter(held) and sum(n for _, n in plan) == -(-sum(x * n for x, n in held.items()) // 1024)
+
+
+def test_packing_of_null_and_empty_texts_alone(docs):
+    pytest.importorskip("public_tokenizers")
+    got = pack(docs([(i, None if i % 2 else "") for i in range(5000)]), public_tokenizer()).toPandas()
+    assert len(got) == 5000 and set(got.doc_id) == set(range(5000)) and got.sequence_id.nunique() == 5
+    assert not got.duplicated(["sequence_id", "offset"]).any() and got.offset.max() < 1024
+
+
 @pytest.fixture(scope="module")
 def coder():
     tokenizers = pytest.importorskip("tokenizers")

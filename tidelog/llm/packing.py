@@ -135,28 +135,29 @@ def completions(held: dict[int, int], limit: int, width: int = 24) -> list[tuple
     largest = max(held)
     lengths = sorted((x for x, n in held.items() if n - (x == largest) > 0), reverse=True)
     out: list[tuple[int, ...]] = []
-    steps = 0
-
-    def extend(filling: tuple[int, ...], room: int, first: int) -> None:
-        nonlocal steps
-        if len(out) >= 4 * width or steps > 64 * width:
-            return
-        steps += 1
-        grew = tried = 0
-        for k in range(first, len(lengths)):
-            x = lengths[k]
-            if x <= room and held[x] - filling.count(x) > 0:
-                grew = 1
-                extend((*filling, x), room - x, k)
-                tried += 1
-                if tried >= width or (len(filling) > 1 and tried >= 3):
-                    break
-        if not grew:
-            smaller = any(x <= room and held[x] - filling.count(x) > 0 for x in lengths)
-            if not smaller:
-                out.append(filling)
-
-    extend((largest,), limit - largest, 0)
+    filling, taken, room, steps = [largest], Counter([largest]), limit - largest, 1
+    stack = [[0, 0]]  # of each length in filling: where the next one is looked for, and how many were tried after it
+    while stack:
+        level = stack[-1]
+        k, tried = level
+        if not (tried >= width or (len(filling) > 1 and tried >= 3)):
+            while k < len(lengths) and not (lengths[k] <= room and held[lengths[k]] > taken[lengths[k]]):
+                k += 1
+            if k < len(lengths):
+                level[:] = k + 1, tried + 1
+                if len(out) < 4 * width and steps <= 64 * width:
+                    steps += 1
+                    filling.append(lengths[k])
+                    taken[lengths[k]] += 1
+                    room -= lengths[k]
+                    stack.append([k, 0])
+                continue
+        if not tried and not any(x <= room and held[x] > taken[x] for x in lengths):
+            out.append(tuple(filling))
+        stack.pop()
+        last = filling.pop()
+        taken[last] -= 1
+        room += last
     spare = lambda f: {x for x in lengths if held[x] > f.count(x)}
     keep = []
     for f in sorted(set(out), key=lambda f: (limit - sum(f), len(f), f)):
@@ -191,8 +192,12 @@ def bin_completion(held: dict[int, int], limit: int, nodes: int = 3000) -> Plan:
         for x in filling:
             held[x] = held.get(x, 0) + k
 
-    branches = [iter(completions(held, limit))]
-    while branches and left and bins(best) > least:
+    branches = None
+    while left and bins(best) > least:
+        if branches is None:
+            branches = [iter(completions(held, limit))]
+        if not branches:
+            break
         filling = next(branches[-1], None)
         if filling is None:
             branches.pop()
