@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -11,9 +14,19 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import share_of, staged
 from tidelog.session import scratch_path
 
-CANDIDATE = r"^[A-Za-z0-9_+/=.@:~-]{12,}$"
-WRAPPING = r"""^[\s"'`(<\[{,;]+|[\s"'`)>\]},;.!?]+$"""
-ASSIGNED = r"^([A-Za-z_][A-Za-z0-9_-]{2,30})[=:](?!//)(.+)$"
+# A run of characters of tokens, ids and addresses.
+TOKEN = r"[A-Za-z0-9_+/=.@:~-]"
+# name=, name: or a quoted name, and how a value starts; then a value in quotes, or one up to the next name or closing bracket.
+NAMED = r"""-{0,2}([A-Za-z_][A-Za-z0-9_-]{2,30})\\?["'`]?(?:=>|:=|[=:])(?![=>]|//)"""
+VALUE = (r"""(?:\\?"[^"\s\\]+|\\?'[^'\s\\]+|\\?`[^`\s\\]+|"""
+         r"""(?:(?![,;&|]["'`]?[A-Za-z_][A-Za-z0-9_-]*["'`]?[=:])(?![)\]}]+(?:[.,;:)\]}]|$))[^\s"'`<>\\])+)""")
+PIECE = rf"(?<!{TOKEN}){NAMED}{VALUE}|{TOKEN}{{12,}}"
+# What counts if a run has no such piece: its printable characters between quotes and brackets.
+OTHER = r"""[!-~&&[^"'`()<>\[\]{},;]]{12,}"""
+WRAPPING = r"""^[\s"'`(<\[{,;\\]+|[\s"'`)>\]},;.:!?#*\\]+$"""
+# A run that ends in name= or name:, so that the next run is its value.
+NAME_ENDS = r"""[A-Za-z_][A-Za-z0-9_-]{2,30}\\?["'`]?(=>|:=|[=:])$"""
+NAME_ONLY = r"""[A-Za-z_][A-Za-z0-9_-]{2,30}["'`]?$"""
 # Parts of words that make up readable names, for dictionary coverage; a parameter of the operator.
 DICTIONARY = (
     "access", "account", "admin", "alpha", "android", "apache", "api", "app", "archive", "asset", "backup", "beta", "blog",
@@ -34,31 +47,46 @@ FEATURES = ("size", "digits", "uppers", "lowers", "others", "moves_letter_digit"
 def candidates(documents: DataFrame, path: str = "source") -> DataFrame:
     """(doc_id, path, position, candidate, before, after, quoted, assigned) of (doc_id, text, path).
 
-    A candidate is a run without white space, stripped of quotes and brackets, of at least 12 characters of
-    tokens, ids and addresses, with a letter and a digit. In name=value the value counts and the name is a neighbour.
+    Text is cut into runs at white space. A run's candidates are the values assigned in it (name=value, name:value,
+    "name":"value"; 8 characters or more), with the name as a neighbour, and its other stretches of 12 or more characters of
+    tokens, ids and addresses. A run after name= or name: is a value as a whole. A run with none of them counts as far as it
+    has 12 printable characters without quotes and brackets. All have a letter and a digit, for assigned ones the name
+    included if it is in the run. What surrounds a candidate is stripped, and a value keeps punctuation inside it.
     position is the number of the run in the whole text; before and after hold up to two neighbours each.
     """
-    runs = F.split(F.col("text"), r"\s+")
     bare = lambda x: F.regexp_replace(x, WRAPPING, "")
-    looks = lambda x: (F.length(x) >= 12) & x.rlike("[0-9]") & x.rlike("[A-Za-z]") & bare(x).rlike(CANDIDATE)
-    found = (
+    mixed = lambda x: x.rlike("[0-9]") & x.rlike("[A-Za-z]")
+    at = lambda i: F.coalesce(F.get("runs", i), F.lit(""))
+    looks = lambda i: (F.length(at(i)) >= 8) & mixed(at(i))
+    near = lambda i: F.struct(
+        i.alias("position"), at(i).alias("run"), at(i - 2).alias("second"), at(i - 1).alias("first"),
+        F.concat_ws(" ", at(i + 1), at(i + 2)).alias("after"))
+    rows = (
         documents.select("doc_id", F.col(path).alias("path"), "text").filter(F.col("text").rlike("[0-9]"))
-        .select("doc_id", "path", runs.alias("runs"))
-        .select("doc_id", "path", "runs", F.explode(F.filter(
-            F.sequence(F.lit(0), F.size("runs") - 1), lambda i: looks(F.get("runs", i)))).alias("position")))
-    at = lambda k: F.coalesce(F.get("runs", F.col("position") + k), F.lit(""))
-    run = F.get("runs", F.col("position"))
-    rows = found.select(
-        "doc_id", "path", "position", run.alias("run"), F.concat_ws(" ", at(-2), at(-1)).alias("left"),
-        F.concat_ws(" ", at(1), at(2)).alias("after"))
-    rows = rows.withColumn("plain", bare(F.col("run"))).withColumn("name", F.regexp_extract("plain", ASSIGNED, 1))
-    value = F.when(F.col("name") != "", bare(F.regexp_extract("plain", ASSIGNED, 2))).otherwise(F.col("plain"))
+        .select("doc_id", "path", F.split(F.col("text"), r"\s+").alias("runs"))
+        .select("doc_id", "path", F.explode(F.transform(
+            F.filter(F.sequence(F.lit(0), F.size("runs") - 1), looks), near)).alias("near"))
+        .select("doc_id", "path", "near.*").withColumn("left", F.concat_ws(" ", "second", "first")))
+    every = lambda pattern: F.regexp_extract_all("run", F.lit(pattern), F.lit(0))
+    value_of = F.col("first").rlike(NAME_ENDS) | (F.col("first").isin("=", ":", "=>", ":=") & F.col("second").rlike(NAME_ONLY))
+    whole = F.regexp_extract(F.regexp_replace("run", r"^[(\[{]+", ""), f"^{VALUE}", 0)
+    parts = F.filter(every(PIECE), mixed)
+    plain_value = value_of & ~F.col("run").rlike(f"^{TOKEN}*://") & ~F.col("run").rlike(rf"^\W*{NAMED}") & mixed(whole)
+    pieces = (
+        F.when(plain_value, F.concat(F.array(whole), F.filter(parts, lambda x: ~F.contains(whole, x))))
+        .when(F.size(parts) > 0, parts).otherwise(F.filter(every(OTHER), mixed)))
+    rows = rows.withColumn("value_of", value_of).withColumn("piece", F.explode(pieces))
+    rows = rows.withColumn("name", F.regexp_extract("piece", f"^{NAMED}{VALUE}", 1)).withColumn(
+        "candidate", bare(F.when(F.col("name") != "", F.regexp_replace("piece", f"^{NAMED}", "")).otherwise(F.col("piece"))))
+    quote = [F.lit(q) for q in "\"'`"]
+    beside = [F.contains("run", F.concat(*x)) for q in quote for x in ((q, F.col("candidate")), (F.col("candidate"), q))]
+    assigned = (F.col("name") != "") | F.col("left").rlike(r"[=:]\s*$")
     return rows.select(
-        "doc_id", "path", "position", value.alias("candidate"),
+        "doc_id", "path", "position", "candidate",
         F.when(F.col("name") != "", F.concat_ws(" ", "left", "name")).otherwise(F.col("left")).alias("before"), "after",
-        F.col("run").rlike(r"""^["'`]|["'`][,;.]?$""").alias("quoted"),
-        ((F.col("name") != "") | F.col("left").rlike(r"[=:]\s*$")).alias("assigned"),
-    ).filter(F.length("candidate") >= 8)
+        functools.reduce(operator.or_, beside).alias("quoted"), assigned.alias("assigned"),
+        ((F.col("name") != "") | F.col("value_of")).alias("valued"),
+    ).filter(F.length("candidate") >= F.when(F.col("valued"), 8).otherwise(12)).drop("valued")
 
 
 def described(findings: DataFrame, dictionary: tuple[str, ...] = DICTIONARY) -> DataFrame:
