@@ -74,6 +74,17 @@ def test_one_row_of_each_group_stays(spark, docs):
     assert sorted(x for x in got if x is not None) == sorted(want) and got.count(None) == 2
 
 
+def test_rows_of_one_id_are_not_lost_to_unrelated_ones(docs):
+    r = random.Random(8)
+    text = lambda: " ".join(f"w{r.randrange(400)}" for _ in range(80))
+    one, two, three, four = (text() for _ in range(4))
+    rows = [(7, one), (7, two), (7, two + " end"), (7, None), (7, " \n"), (8, two), (9, three), (10, three), (10, ""), (11, four)]
+    got = sorted(((x.doc_id, x.text) for x in drop_near_duplicates(docs(rows)).collect()), key=str)
+    assert got == sorted([(7, one), (7, two), (7, None), (7, " \n"), (9, three), (10, ""), (11, four)], key=str)
+    hot = [(5, text()) for _ in range(60)]
+    assert sorted(x.text for x in drop_near_duplicates(docs(hot + hot[:5])).collect()) == sorted(t for _, t in hot)
+
+
 def test_empty_table(spark, docs):
     assert near_duplicates(docs([])).count() == 0 and drop_near_duplicates(docs([])).count() == 0
 

@@ -217,14 +217,21 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
 def drop_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     """documents without the rows that duplicate another: of each component the row with the smallest id stays.
 
-    Rows with null ids or blank texts stay. Of rows that share the kept id, one stays, that with the smallest text.
+    Rows with null ids or blank texts stay, whatever other rows have their id. Rows that share an id are one document, so
+    all of them go with it; of those that share the kept id, similar ones leave the smallest text and others stay.
     """
-    found = near_groups(documents, percent).groupBy("doc_id").agg(
+    found = near_groups(documents, percent).filter("n > 0").groupBy("doc_id").agg(
         F.min("component").alias("component"), F.count("*").alias("held"))
     out = found.filter("doc_id != component or held > 1")
-    whole = documents.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"))
+    worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    whole = documents.select(F.struct("*").alias("doc"), F.when(worded, F.col("doc_id")).alias("id"))
     marked = whole.join(out, F.col("id") == F.col("doc_id"), "left").filter("component is null or doc_id = component")
     single = marked.filter("component is null").select("doc.*")
-    again = marked.filter("component is not null")
-    first = again.groupBy("id").agg(F.min_by("doc", F.struct("doc.text")).alias("doc")).select("doc.*")
+    # With a number of its own for each row, only texts link the rows of a kept id.
+    again = staged(marked.filter("component is not null").select("doc", F.monotonically_increasing_id().alias("row")))
+    if again.isEmpty():
+        return single
+    alike = near_groups(again.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), percent).select(
+        F.col("doc_id").alias("row"), "component")
+    first = again.join(alike, "row").groupBy("component").agg(F.min_by("doc", F.struct("doc.text")).alias("doc")).select("doc.*")
     return single.union(first)
