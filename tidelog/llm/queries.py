@@ -66,6 +66,14 @@ def op10_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.pieces import encode_decode, public_pieces
+    out = encode_decode(table(spark, sf_dir, "documents"), public_pieces())
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_redirect_filter, op3_forest_secrets, op4_cover_tree_topk, op5_stratified_shards,
-    op6_bin_completion, op7_pigeonhole_matches, op8_minhash_dedup, op9_line_spread, op10_crf_quality)}
+    op6_bin_completion, op7_pigeonhole_matches, op8_minhash_dedup, op9_line_spread, op10_crf_quality,
+    op11_prefix_pieces)}
