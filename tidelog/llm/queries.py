@@ -73,7 +73,13 @@ def op11_prefix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.spill_align import align, public_pieces, public_tokenizer
+    out = align(table(spark, sf_dir, "documents"), public_tokenizer(), public_pieces(), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_redirect_filter, op3_forest_secrets, op4_cover_tree_topk, op5_stratified_shards,
     op6_bin_completion, op7_pigeonhole_matches, op8_minhash_dedup, op9_line_spread, op10_crf_quality,
-    op11_prefix_pieces)}
+    op11_prefix_pieces, op12_spill_alignment)}
