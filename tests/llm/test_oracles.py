@@ -30,6 +30,7 @@ PAGES = [
 DOCUMENTS = [(i, f"Shared by all\nonly in {i}\n  Shared by all \n\n", f"s{i % 11}") for i in range(22)] + [
     (40, None, "s1"), (41, "", "s1"), (42, "Shared by all", "s3"), (43, "é" * 300 + "\n" + "word " * 900, None),
     (44, "a b c d", "s1"), (45, "A B c\td", "s1"), (46, "   ", "s2"), (47, "a b c d e", None), (48, "a  b c d E f", "s5"),
+    (51, "Straße straße STRAße strase strasen strase strase\nüberall überal überall überall überall überall überal überal", "s1"),
     (49, "word " * 900, "s9"), (50, "one two three four five six seven", "s1"),
 ]
 VECTORS = [(i, [((i * 7 + k * 3) % 11 - 5) / 7 for k in range(4)]) for i in range(0, 120, 5)] + [
@@ -40,7 +41,8 @@ FIXTURES = {
     "embeddings": (VECTORS, "vec_id long, embedding array<float>"),
 }
 OF = {"op2_redirect_filter": "pages", "op4_cover_tree_topk": "embeddings", "op5_stratified_shards": "documents",
-      "op8_minhash_dedup": "documents", "op9_line_spread": "documents"}
+      "op8_minhash_dedup": "documents", "op9_line_spread": "documents",
+      "op13_two_way_spelling": "documents"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not mounted")

@@ -37,6 +37,11 @@ def test_any_ids_decode_as_in_the_library(library, ids):
     assert coder_of(public_pieces()).decode(np.array(ids, dtype="<u4")) == library.decode(ids)
 
 
+def test_control_ids_among_others(library):
+    for ids in ([197, 1, 131], [1, 306, 2, 306], [1, 1, 306], [2, 29871, 1, 29871, 306], [1, 197, 131, 306, 0, 306], [1], []):
+        assert coder_of(public_pieces()).decode(np.array(ids, dtype="<u4")) == library.decode(ids)
+
+
 def test_each_last_piece_is_the_prefix_encoding(library):
     coder = coder_of(public_pieces())
     for word in ("▁unbelievable", "▁▁▁▁▁tokens", "▁aaaaaaaaaaaaaaaaaaaaaaa", "▁Überraschung漢字ゼx"):

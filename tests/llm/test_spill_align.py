@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.llm import spill_align
+from tidelog.llm import pieces, spill_align
 from tidelog.llm.pieces import public_pieces
 from tidelog.llm.queries import QUERIES
 from tidelog.llm.spill_align import COUNTED, align, byte_letters, counted, highest, packed, public_tokenizer, unpacked
@@ -66,7 +66,7 @@ def expected(plain, texts):
 
 def test_rows_of_all_kinds(docs, plain, monkeypatch):
     monkeypatch.setattr(spill_align, "SEGMENT", 7)
-    monkeypatch.setattr(spill_align, "CACHED", 50)
+    monkeypatch.setattr(pieces, "CACHED", 50)
     r = random.Random(6)
     words = ["the", "token", "unbelievable,", "Übersee", "漢字", "x1y22", "don't", "<|endoftext|>", "<s>", "a\nb", "😀", "\x1c", "naïve"]
     texts = [None, "", " ", "  ", "\n", "one", " lead", "trail ", "a  b   c", "tab\t next", "line \n line", "has ▁ sign", "\x85 x", "e　 f"]

@@ -1,7 +1,7 @@
 """SQL for the queries of this folder that SQL can express on whole tables.
 
 Each states the result from its definition, without the method of the operator: rules and reachability, all inner
-products, ranks by one window, all shared shingles, distinct sites by plain counts. Trained scores (op1, op3, op10), a
+products, ranks by one window, all shared shingles, distinct sites by plain counts, one edit by words with a letter cut out. Trained scores (op1, op3, op10), a
 search (op6) and edit distances within texts (op7) have none; tests/llm holds them against brute force.
 """
 
@@ -182,10 +182,52 @@ select s.doc_id, coalesce(n_lines, 0)::integer as n_lines, coalesce(n_removed, 0
 from split s left join left_over o using (row_id)
 """
 
+OP13 = f"""
+with recursive steps (byte, step, c) as (
+  select range, 0, range from range(256)
+  union all
+  select byte, step + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where step < 8),
+crc_table as (select list(c order by byte) as t from steps where step = 8),
+runs as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00c0-\u00ff]+')), '{UPPER}', '{LOWER}') as run from documents),
+held as (select doc_id, run, count(*) as n from runs where length(run) >= 5 group by doc_id, run),
+hashed as (
+  select doc_id, run, n, case when doc_id is not null then xor(4294967295, list_reduce(
+      list_transform(regexp_extract_all(hex(encode(doc_id::varchar || ':' || run)), '..'), lambda h: ('0x' || h)::bigint),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) end as h
+  from held, crc_table),
+slipped as (
+  select case when h % 97 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n
+  from hashed),
+words as (select word, sum(n)::bigint as n from slipped where length(word) >= 5 group by word having sum(n) >= 3),
+cut as (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest
+  from (select word, n, unnest(range(1, length(word) + 1))::int as i from words)),
+near as (
+  select a.word, b.word as near, b.n as near_n from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word != b.word
+  union
+  select c.word, w.word, w.n from cut c join words w on c.rest = w.word
+  union
+  select w.word, c.word, c.n from cut c join words w on c.rest = w.word),
+best as (
+  select word, count(*) as n_near, min(struct_pack(less := -near_n, near := near)) as best from near group by word),
+forms as (
+  select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when -b.best.less >= 2 * w.n then b.best.near end as form,
+         case when -b.best.less >= 2 * w.n then -b.best.less end as form_n
+  from words w left join best b using (word)),
+walk as (
+  select word, word as place, 0 as k from forms
+  union all
+  select w.word, f.form, w.k + 1 from walk w join forms f on f.word = w.place where f.form is not null)
+select f.word, f.form, w.root, f.n, f.n_near, f.form_n
+from forms f join (select word, arg_max(place, k) as root from walk group by word) w using (word)
+"""
+
 ORACLES = {
     "op2_redirect_filter": OP2,
     "op4_cover_tree_topk": OP4,
     "op5_stratified_shards": OP5,
     "op8_minhash_dedup": OP8,
     "op9_line_spread": OP9,
+    "op13_two_way_spelling": OP13,
 }

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-CACHED, CACHED_CHARS = 300_000, 40
+CACHED, CACHED_CHARS = 400_000, 40
 SLICE_ROWS = 256
 _coders: dict[str, PieceCoder] = {}
 
@@ -27,6 +28,27 @@ def coder_of(path: str) -> PieceCoder:
     return _coders[path]
 
 
+class Remembered(dict):
+    """What a function gave for words of usual length: the last CACHED of them, and those used among the CACHED before."""
+
+    def __init__(self, function: Callable[[str], object]):
+        super().__init__()
+        self.function, self.older = function, {}
+
+    def __missing__(self, word: str) -> object:
+        if word in self.older:
+            found = self.older.pop(word)
+        else:
+            found = self.function(word)
+            if len(word) > CACHED_CHARS:
+                return found
+        if len(self) >= CACHED:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class PieceCoder:
     """Ids and texts of a SentencePiece model of merge type.
 
@@ -67,20 +89,10 @@ class PieceCoder:
         import ahocorasick
         self.matches = ahocorasick.Automaton()
         for piece in self.id:
-            if self.merged(piece) == [piece]:  # others can never come out
+            if len(piece) > 1 and self.merged(piece) == [piece]:  # others can never come out
                 self.matches.add_word(piece, piece)
         self.matches.make_automaton()
-        coder = self
-
-        class Parts(dict):
-            def __missing__(self, word: str) -> bytes:
-                found = coder.part_ids(SPACE + word)
-                if len(word) <= CACHED_CHARS:
-                    if len(self) >= CACHED:
-                        self.clear()
-                    self[word] = found
-                return found
-        self.parts = Parts()
+        self.parts = Remembered(lambda word: array("I", self.part_ids(SPACE + word)).tobytes())
 
     def merged(self, text: str) -> list[str]:
         """The symbols left when merging a short text by the model's own rule."""
@@ -97,42 +109,38 @@ class PieceCoder:
 
     def fits(self, left: str, right: str) -> bool:
         """Whether right may follow left: merged together they stay apart."""
-        known = self._fit.get((left, right))
-        if known is None:
-            if len(self._fit) >= 4 * CACHED:
-                self._fit.clear()
-            known = self._fit[left, right] = self.merged(left + right) == [left, right]
+        if len(self._fit) >= 3 * CACHED:
+            self._fit.clear()
+        known = self._fit[left, right] = self.merged(left + right) == [left, right]
         return known
 
     def last_pieces(self, part: str) -> list[str]:
-        """By length of the prefix: its last piece, or its last character where that is in no piece that fits."""
-        last = [""] * (len(part) + 1)
-        seen = 0
+        """By length of the prefix: its last piece. That is its last character where no longer match fits."""
+        last, known = ["", *part], self._fit.get
         for at, piece in self.matches.iter(part):
-            end = at + 1
-            while seen < end:
-                seen += 1
-                last[seen] = part[seen - 1]
-            if len(last[end]) == 1:
-                start = end - len(piece)
-                if start == 0 or self.fits(last[start], piece):
-                    last[end] = piece
-        for k in range(seen + 1, len(part) + 1):
-            last[k] = part[k - 1]
+            if len(last[at + 1]) == 1:
+                start = at + 1 - len(piece)
+                if start:
+                    fit = known((last[start], piece))
+                    if fit is None:
+                        fit = self.fits(last[start], piece)
+                    if not fit:
+                        continue
+                last[at + 1] = piece
         return last
 
-    def part_ids(self, part: str) -> bytes:
-        """The ids of a part as little-endian 32-bit numbers, by its prefix table read backwards."""
-        last, end, out = self.last_pieces(part), len(part), []
+    def part_ids(self, part: str) -> list[int]:
+        """The ids of a part, by its prefix table read backwards."""
+        last, end, known, out = self.last_pieces(part), len(part), self.id, []
         while end:
             piece = last[end]
-            known = self.id.get(piece)
-            if known is not None:
-                out.append(known)
+            if piece in known:
+                out.append(known[piece])
             else:
                 out.extend(self.byte_id[b] for b in reversed(piece.encode()))
             end -= len(piece)
-        return np.array(out[::-1], dtype="<u4").tobytes()
+        out.reverse()
+        return out
 
     def words(self, text: str) -> list[str]:
         """The parts of a text, each without one leading space sign; the model's own leading sign is the first one's."""
@@ -152,13 +160,22 @@ class PieceCoder:
         """The text of ids: signs become spaces, runs of bytes become characters, and the first piece loses one space."""
         ids = np.asarray(ids, dtype=np.int64)
         table = self.bytes
-        raw = b"".join([table[i] for i in ids.tolist()])
-        shown = np.flatnonzero(self._normal[ids] | self._byte[ids] | (ids == 0))
-        skip = bool(len(shown) and self._normal[ids[shown[0]]] and table[ids[shown[0]]].startswith(b" "))
+        mute = np.flatnonzero(~(self._normal[ids] | self._byte[ids] | (ids == 0)))
+        inner = mute[(mute > 0) & (mute < len(ids) - 1)]
+        if len(inner):  # a control id ends a run of bytes; only the first part that shows something loses a space
+            out = ""
+            for part in np.split(ids, inner):
+                out += self.decode(part) if not out else self._shown(part, 0)
+            return out
+        first = ids[int(len(mute) and mute[0] == 0):][:1]
+        return self._shown(ids, int(len(first) and self._normal[first[0]] and table[first[0]].startswith(b" ")))
+
+    def _shown(self, ids: np.ndarray, skip: int) -> str:
+        raw = b"".join([*map(self.bytes.__getitem__, ids.tolist())])[skip:]
         try:
-            return raw[skip:].decode()
+            return raw.decode()
         except UnicodeDecodeError:  # only for ids that no text gives: each byte outside a character becomes U+FFFD
-            return re.sub("[\udc80-\udcff]", "�", raw[skip:].decode("utf-8", "surrogateescape"))
+            return re.sub("[\udc80-\udcff]", "�", raw.decode("utf-8", "surrogateescape"))
 
 
 def encode_decode(documents: DataFrame, model: str) -> DataFrame:

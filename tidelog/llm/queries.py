@@ -79,7 +79,12 @@ def op12_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_two_way_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidelog.llm.spelling import corpus_words, variant_groups
+    return variant_groups(corpus_words(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_redirect_filter, op3_forest_secrets, op4_cover_tree_topk, op5_stratified_shards,
     op6_bin_completion, op7_pigeonhole_matches, op8_minhash_dedup, op9_line_spread, op10_crf_quality,
-    op11_prefix_pieces, op12_spill_alignment)}
+    op11_prefix_pieces, op12_spill_alignment, op13_two_way_spelling)}

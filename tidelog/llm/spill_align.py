@@ -13,6 +13,7 @@ import base64
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import staged
 from tidelog.llm.packing import public_tokenizer
-from tidelog.llm.pieces import coder_of, public_pieces
+from tidelog.llm.pieces import SPACE, Remembered, coder_of, public_pieces
 
 BUCKETS = 64  # radixes of the second side's id
 RUN_RECORDS = 1 << 17  # pair-document records of a run
@@ -31,9 +32,9 @@ RUN_DOCUMENTS = 1 << 13
 RUN_GROUPS = 1 << 26  # bytes of group texts after which a run ends
 FAN_IN = 64  # runs that one heap merges
 SEGMENT = 1 << 17  # words of a text whose links are held before they are counted
-CACHED, CACHED_CHARS = 300_000, 40
 BLOCK = 4096
 SHIFT = 20  # a pair is the second side's id, then the first's in so many bits
+MASK = (1 << 48) - 1
 COUNTED = np.dtype([("pair", "<u8"), ("n", "<u8")])
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -70,46 +71,53 @@ class Aligner:
             self.first_ids = lambda text: coder.encode(text, add_special_tokens=False).ids
             letters = byte_letters()
             self.first_bytes = {i: bytes(letters[c] for c in token) for token, i in coder.get_vocab(False).items()}
+        self.first_bytes = [self.first_bytes.get(i, b"") for i in range(max(self.first_bytes) + 1)]
         self.second = coder_of(second)
-        aligner = self
-
-        class Words(dict):
-            def __missing__(self, word: str) -> tuple | None:
-                odd = not word or word[0].isspace() or word[-1].isspace()
-                found = None if odd else aligner.aligned(word)
-                if len(word) <= CACHED_CHARS:
-                    if len(self) >= CACHED:
-                        self.clear()
-                    self[word] = found
-                return found
-        self.known = Words()
-
-    def aligned(self, word: str) -> tuple[bytes, bytes, int, int, int]:
-        """Pairs as little-endian 64-bit numbers, groups as text, and how many first tokens, second tokens and groups.
-
-        No groups at all where a side's bytes are not those of the word.
+        self.first_said, self.second_said = ([str(i) for i in range(len(side))] for side in (self.first_bytes, self.second.bytes))
+        self.known = Remembered(lambda word: None if not word or word[0].isspace() or word[-1].isspace() else self.aligned(word))
+
+    def aligned(self, word: str) -> tuple[bytes, bytes, int]:
+        """Pairs as little-endian 64-bit numbers, groups as text, and the numbers of first tokens, second tokens and groups.
+
+        The numbers share an int, 48 bits each. No groups at all where a side's bytes are not those of the word.
         """
         raw = (" " + word).encode()
         first = self.first_ids(" " + word)
-        second = np.frombuffer(self.second.encode(word), "<u4").tolist()
-        a_bytes, b_bytes = [self.first_bytes[i] for i in first], [self.second.bytes[i] for i in second]
+        if " " in word or SPACE in word:
+            second = np.frombuffer(self.second.encode(word), "<u4").tolist()
+        else:
+            second = self.second.part_ids(SPACE + word)
+        a_bytes, b_bytes = [self.first_bytes[a] for a in first], [self.second.bytes[b] for b in second]
         if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
-            return b"", b"", 0, 0, 0
-        pairs, groups = [], []
-        i = j = a_end = b_end = a_from = b_from = 0
-        while i < len(first):
-            a_next, b_next = a_end + len(a_bytes[i]), b_end + len(b_bytes[j])
-            pairs.append(second[j] << SHIFT | first[i])
-            if a_next <= b_next:
-                i, a_end = i + 1, a_next
-            if b_next <= a_next:
-                j, b_end = j + 1, b_next
-            if a_next == b_next:
-                groups.append(",".join(map(str, first[a_from:i])) + "|" + ",".join(map(str, second[b_from:j])))
-                a_from, b_from = i, j
-        return np.array(pairs, "<u8").tobytes(), ";".join(groups).encode(), len(first), len(second), len(groups)
-
-    def text(self, text: str) -> Iterator[list[tuple[bytes, bytes, int, int, int]]]:
+            return b"", b"", 0
+        a_said, b_said = [self.first_said[a] for a in first], [self.second_said[b] for b in second]
+        if len(second) == 1:  # one group, whatever the first side has
+            pairs, groups, n_groups = [second[0] << SHIFT | a for a in first], f"{','.join(a_said)}|{b_said[0]}", 1
+        elif len(first) == 1:
+            pairs, groups, n_groups = [b << SHIFT | first[0] for b in second], f"{a_said[0]}|{','.join(b_said)}", 1
+        else:
+            pairs, cuts = [], []
+            i = j = a_from = b_from = 0
+            a, b, ahead = first[0], second[0] << SHIFT, len(a_bytes[0]) - len(b_bytes[0])
+            while True:
+                pairs.append(b | a)
+                if ahead == 0:
+                    i, j = i + 1, j + 1
+                    cuts.append(f"{','.join(a_said[a_from:i])}|{','.join(b_said[b_from:j])}")
+                    if i == len(first):
+                        break
+                    a_from, b_from = i, j
+                    a, b, ahead = first[i], second[j] << SHIFT, len(a_bytes[i]) - len(b_bytes[j])
+                elif ahead < 0:
+                    i += 1
+                    a, ahead = first[i], ahead + len(a_bytes[i])
+                else:
+                    j += 1
+                    b, ahead = second[j] << SHIFT, ahead - len(b_bytes[j])
+            groups, n_groups = ";".join(cuts), len(cuts)
+        return array("Q", pairs).tobytes(), groups.encode(), len(first) | len(second) << 48 | n_groups << 96
+
+    def text(self, text: str) -> Iterator[list[tuple[bytes, bytes, int]]]:
         """The aligned words of a text, SEGMENT at a time."""
         words = text.split(" ")
         known = self.known
@@ -196,16 +204,17 @@ class Run:
         kept, said, sound = [], [], True
         hashed = hashlib.sha256()
         for words in aligner.text(text) if text else ():
-            sound = sound and all(w[4] for w in words)
-            if not sound:
+            pairs, said_here, numbers = zip(*words)
+            if 0 in numbers:
+                sound = False
                 break
-            links, counts = np.unique(np.frombuffer(b"".join([w[0] for w in words]), "<u8"), return_counts=True)
-            groups = b";".join([w[1] for w in words])
+            links, counts = np.unique(np.frombuffer(b"".join(pairs), "<u8"), return_counts=True)
+            groups, number = b";".join(said_here), sum(numbers)
             if digest:
                 hashed.update(b";" + groups if n_groups else groups)
             else:
                 said.append(groups)
-            n_a, n_b, n_groups = n_a + sum([w[2] for w in words]), n_b + sum([w[3] for w in words]), n_groups + sum([w[4] for w in words])
+            n_a, n_b, n_groups = n_a + (number & MASK), n_b + (number >> 48 & MASK), n_groups + (number >> 96)
             n_links += int(counts.sum())
             kept.append((links, counts))
         if not kept or not sound:
