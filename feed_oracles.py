@@ -25,6 +25,13 @@ ev as (
   from events
 ),
 marks as (select part, min(off) as low, max(off) + 1 as high from ev group by part)"""
+# Offsets of a catalogued topic: three appends, each numbering its records from the high mark on.
+TOPIC = f"""
+parts as (
+  select cast(user_id % 4 as integer) as part, event_id, cast(event_id as varchar) as k, props as v, ts,
+         case when ts < {MID} then 1 when ts < {LATER} then 2 else 3 end as append
+  from events),
+topic as (select *, row_number() over (partition by part order by append, event_id) - 1 as off from parts)"""
 AT = f"""
 at_mid as (select part, min(off) as at_off from ev where ts >= {MID} group by part),
 at_later as (select part, min(off) as at_off from ev where ts >= {LATER} group by part)"""
@@ -255,4 +262,37 @@ select doc_id, regexp_replace(
   replace(text, 'token = ', 'sasl.password=') || ' ssl.key.password=' || source || ', ssl.keystore.password=' || lang
   || '; bootstrap.servers=b:9092',
   '\\b({_NAMES})=(?:"[^"]*"|[^\\s;,]+)', '\\1=***', 'g') as text from documents""",
+    "feed_slice_many": """
+with log as (select cast(o_custkey % 150 as integer) as part, o_orderkey as off, cast(o_custkey as varchar) as k from orders),
+middle as (select part, (min(off) + max(off) + 1) // 2 as at_off from log group by part)
+select part as "partition", off as "offset", k as "key" from log join middle using (part) where off >= at_off""",
+    "watermarks_catalogue": f"""
+with {TOPIC},
+held as (select part, count(*) as high from topic group by part)
+select p as "partition", case p when 1 then 7 when 2 then high else 0 end as low, coalesce(high, 0) as high
+from (select cast(range as integer) as p from range(6)) left join held on part = p""",
+    "topic_files": f"""
+with {TOPIC}
+select part as "partition", min(off) as first, max(off) + 1 as next, count(*) as records,
+  strftime(min(ts), {TS}) as least_time, strftime(max(ts), {TS}) as greatest_time
+from topic group by part""",
+    "incremental_expired": f"""
+with {TOPIC}
+select append as run, part as "partition", off as "offset", k as "key", v as "value" from topic
+union all
+select 4, part, off, k, v from topic where not (part = 2 and append = 1) and not (part = 1 and append <= 2)""",
+    "land_retry": f"""
+with {TOPIC}
+select case when append = 1 then 1 else 2 end as run, part as "partition", off as "offset", k as "key", v as "value" from topic""",
+    "bounds_time_index": f"""
+with {TOPIC}
+select part as "partition", min(off) as at from topic where ts >= timestamp '2024-01-18 06:00:00' group by part""",
+    "bounds_limited": f"""
+with {TOPIC},
+share as (select (count(*) // 3) // 4 as n from events)
+select case when off < n then 1 when off < 2 * n then 2 else 3 end as run, part as "partition", off as "offset", k as "key"
+from topic, share""",
+    "append_offsets_blocks": """
+select event_id, cast(user_id % 4 as integer) as "partition",
+  row_number() over (partition by user_id % 4 order by event_id) - 1 + 1000 * (user_id % 4) as "offset" from events""",
 }

@@ -24,11 +24,15 @@ from tidelog.operators.reading import (
 )
 from tidelog.operators.token import advance_token, parse_tokens
 from tidelog.options import ReadOptions, WriteOptions
-from tidelog.plans.feed import feed_run
+from tidelog.plans.feed import feed_run, feed_topic, land_topic, landed_rows, write_run
 from tidelog.plans.relay import relay
+from tidelog.plans.state import load_token
 from tidelog.session import scratch_path, use_utc
 from tidelog.sinks.append import append_offsets, append_to_log
 from tidelog.sinks.records import to_records
+from tidelog.sources.catalogue import (
+    catalogue_marks, commit_append, create_topic, log_files, offsets_at_indexed, raise_low,
+)
 from tidelog.sources.logs import as_log, discover_partitions, header, load_log, offsets_at, watermarks
 from tidelog.streaming.stream import stream_feed, stream_land
 
@@ -478,4 +482,113 @@ def q_redact_properties(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", redact_properties(dump).alias("text"))
 
 
+def q_feed_slice_many(spark, sf_dir):
+    """A slice over more partitions than fit in literals: 150 of them, each from the middle of its offsets."""
+    orders = _table(spark, sf_dir, "orders")
+    log = as_log(orders, "orders", F.pmod("o_custkey", F.lit(150)), F.col("o_orderkey"), F.col("o_orderdate"),
+                 key=F.col("o_custkey").cast("string"))
+    middle = watermarks(log).select("partition", F.floor((F.col("low") + F.col("high")) / 2).cast("bigint").alias("next_offset"))
+    return read_slice(log, read_bounds(watermarks(log), middle)).select(
+        "partition", "offset", F.col("key").cast("string").alias("key"))
+
+
+def q_append_offsets_blocks(spark, sf_dir):
+    """Numbers in blocks of 4,096 sequence numbers, so that each partition's count is carried over many blocks."""
+    events = _table(spark, sf_dir, "events").select("event_id", _lane().cast("int").alias("partition"))
+    highs = spark.range(4).select(F.col("id").cast("int").alias("partition"), (F.col("id") * 1000).alias("high"))
+    return append_offsets(events, highs, "event_id", bits=12)
+
+
+COMMITS = (None, "2024-01-15", "2024-01-22", None)  # days at which an append ends and the next begins
+
+
+def _append_events(spark, sf_dir, path, part):
+    """Append number ``part`` (1 to 3) of the events to a catalogued topic."""
+    since, until = (d and F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in COMMITS[part - 1: part + 1])
+    events = _table(spark, sf_dir, "events")
+    events = events if since is None else events.where(F.col("ts") >= since)
+    events = events if until is None else events.where(F.col("ts") < until)
+    write = WriteOptions.parse("events", {"key": "event_id", "value": "props"})
+    records = to_records(events.select("*", F.col("event_id").alias("seq"), _lane().alias("lane"), F.col("ts").alias("at")), write,
+                         keep=("seq", "lane", "at"))
+    return commit_append(records, path, write, F.col("lane"), "seq", F.col("at"))
+
+
+def _events_topic(spark, sf_dir, parts, partitions=6):
+    """A catalogued topic with the first ``parts`` appends; two of its six partitions never get a record."""
+    path = scratch_path(spark, "topic")
+    create_topic(spark, path, "events", partitions)
+    for part in range(1, parts + 1):
+        _append_events(spark, sf_dir, path, part)
+    return path
+
+
+def _run_rows(plan, run):
+    return plan.envelope.select(F.lit(run).alias("run"), "partition", "offset", "key", "value")
+
+
+def _all_gone(marks, partition):
+    return marks.where(F.col("partition") == partition).select("partition", F.col("high").alias("low"))
+
+
+def q_watermarks_catalogue(spark, sf_dir):
+    """Marks after three appends: partition 1 lost its first seven offsets to retention, partition 2 all; 4 and 5 are empty."""
+    path = _events_topic(spark, sf_dir, 3)
+    marks = catalogue_marks(spark, path, "events")
+    seven = marks.where(F.col("partition") == 1).select("partition", F.lit(7).cast("bigint").alias("low"))
+    raise_low(spark, path, "events", seven.unionByName(_all_gone(marks, 2)))
+    return catalogue_marks(spark, path, "events")
+
+
+def q_topic_files(spark, sf_dir):
+    """What the index holds of a topic, added up by partition."""
+    return log_files(spark, _events_topic(spark, sf_dir, 3), "events").groupBy("partition").agg(
+        F.min("first").alias("first"), F.max("next").alias("next"), F.sum("records").alias("records"),
+        timestamp_text(F.min("least_time")).alias("least_time"), timestamp_text(F.max("greatest_time")).alias("greatest_time"))
+
+
+def q_incremental_expired(spark, sf_dir):
+    """Three runs, with partition 2 expired after the first and partition 1 after the second; then one from the beginning."""
+    path, token, runs = _events_topic(spark, sf_dir, 0), None, []
+    for k in (1, 2, 3):
+        _append_events(spark, sf_dir, path, k)
+        plan = feed_topic(spark, path, ReadOptions("events"), token)
+        token = plan.token_text()
+        runs.append(_run_rows(plan, k))
+        if k < 3:
+            raise_low(spark, path, "events", _all_gone(catalogue_marks(spark, path, "events"), 3 - k))
+    runs.append(_run_rows(feed_topic(spark, path, ReadOptions("events")), 4))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).unionByName(runs[3])
+
+
+def q_land_retry(spark, sf_dir):
+    """The second run lands its slice and ends before its token is stored; when it runs again there is more to read."""
+    path = _events_topic(spark, sf_dir, 1)
+    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
+    land_topic(spark, path, ReadOptions("events"), landed, state)
+    _append_events(spark, sf_dir, path, 2)
+    text, run = load_token(spark, state, "events")
+    write_run(feed_topic(spark, path, ReadOptions("events"), text), landed, run + 1)
+    _append_events(spark, sf_dir, path, 3)
+    land_topic(spark, path, ReadOptions("events"), landed, state)
+    return landed_rows(spark, landed, state, "events").select("run", "partition", "offset", "key", "value")
+
+
+def q_bounds_time_index(spark, sf_dir):
+    """Where each partition of a stored topic begins at an instant within its second append."""
+    path = _events_topic(spark, sf_dir, 3)
+    return offsets_at_indexed(spark, path, "events", datetime(2024, 1, 18, 6, tzinfo=timezone.utc))
+
+
+def q_bounds_limited(spark, sf_dir):
+    """Two runs over a third of the records each, dealt evenly to the partitions, then one without a limit."""
+    path, token, runs = _events_topic(spark, sf_dir, 3), None, []
+    third = _table(spark, sf_dir, "events").count() // 3
+    for k, most in ((1, third), (2, third), (3, None)):
+        plan = feed_topic(spark, path, ReadOptions("events"), token, max_records=most)
+        token = plan.token_text()
+        runs.append(_run_rows(plan, k))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).select("run", "partition", "offset", "key")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")}

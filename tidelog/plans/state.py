@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.session import path_exists
+
 STATE_DDL = "token string, run bigint, topic string, slot int"
 SLOTS = 2
 
@@ -36,11 +37,7 @@ def load_token(
     mine = F.col("topic") == topic
     if up_to is not None:
         mine = mine & (F.col("run") <= up_to)
-    try:
-        states = spark.read.schema(STATE_DDL).parquet(path).where(mine)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return None, 0
-    row = _latest(states).head()
+    row = _latest(spark.read.schema(STATE_DDL).parquet(path).where(mine)).head()
     return (row["token"], row["run"]) if row else (None, 0)

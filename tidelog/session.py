@@ -61,6 +61,12 @@ def scratch_root(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of its own file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidelog/{name}-{uuid.uuid4().hex}"
 
