@@ -69,9 +69,21 @@ def test_one_row_of_each_group_stays(spark, docs):
     rows = corpus(3)
     kept = drop_near_duplicates(docs(rows))
     assert kept.columns == docs(rows).columns
-    want = {i for i, _, c in brute(rows) if i is not None and i == c}
-    got = [x.doc_id for x in kept.collect()]
-    assert sorted(x for x in got if x is not None) == sorted(want) and got.count(None) == 2
+    group = {k: c for k, _, c in brute([(k, row[1]) for k, row in enumerate(rows)])}  # by row, whatever the ids
+    best, blank = {}, 0
+    for k, (i, text, *_) in enumerate(rows):
+        if not word_shingles(text):
+            blank += 1
+        elif group[k] not in best or (i is None, i or 0, text) < best[group[k]]:
+            best[group[k]] = (i is None, i or 0, text)
+    got = [(x.doc_id is None, x.doc_id or 0, x.text) for x in kept.collect()]
+    assert sorted(x for x in got if word_shingles(x[2])) == sorted(best.values()) and len(got) == len(best) + blank
+
+
+def test_unrelated_texts_of_one_id_and_copies_without_an_id(docs):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    got = sorted(((x.doc_id, x.text) for x in drop_near_duplicates(docs([(1, a), (5, a), (5, b), (None, c), (None, c), (None, c)])).collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (None, c)], key=str)
 
 
 def test_rows_of_one_id_are_not_lost_to_unrelated_ones(docs):

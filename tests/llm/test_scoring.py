@@ -101,3 +101,14 @@ def test_lines_are_those_of_split():
         lengths += length.tolist()
     assert sizes == [len((t or "").split("\n")) for t in texts]
     assert lengths == [len(line.encode()) for t in texts for line in (t or "").split("\n")]
+
+
+@pytest.mark.parametrize("key", [None, 4])
+def test_one_id_neither_fills_nor_empties_the_sample(spark, key):
+    from tidelog.llm.common import share_of
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(key).cast("long")).otherwise(F.col("id")).alias("key"), F.concat(F.lit("text "), "id").alias("text"))
+    for seed in range(3):
+        drawn = rows.filter(share_of(30_000, 10_000, F.col("key"), seed, F.col("text")))
+        n, hot = drawn.agg(F.count("*"), F.count(F.when(F.col("key").eqNullSafe(key), 1))).first()
+        assert abs(n - 10_000) < 500 and abs(hot - 3333) < 300

@@ -36,11 +36,14 @@ def training_labels(labels: DataFrame, column: str) -> DataFrame:
     )
 
 
-def share_of(n: int, bound: int, key: Column, seed: int) -> Column:
-    """True for about bound of n rows, chosen by a hash of key; for all rows if there are no more than bound."""
+def share_of(n: int, bound: int, key: Column, seed: int, *salt: Column) -> Column:
+    """True for about bound of n rows, chosen by a hash of key; for all rows if there are no more than bound.
+
+    Rows with one key are chosen all or none. salt takes in what tells them apart, as the text of rows with one id or none.
+    """
     if n <= bound:
         return F.lit(True)
-    return F.xxhash64(F.lit(seed), key).bitwiseAND(F.lit((1 << 40) - 1)) < F.lit(int((1 << 40) * bound / n))
+    return F.xxhash64(F.lit(seed), key, *salt).bitwiseAND(F.lit((1 << 40) - 1)) < F.lit(int((1 << 40) * bound / n))
 
 
 def same(names: list[str], left: str, right: str) -> Column:

@@ -215,23 +215,20 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def drop_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """documents without the rows that duplicate another: of each component the row with the smallest id stays.
+    """documents with one row of each group of similar texts: the one of the smallest id, null last, and then of the smallest text.
 
-    Rows with null ids or blank texts stay, whatever other rows have their id. Rows that share an id are one document, so
-    all of them go with it; of those that share the kept id, similar ones leave the smallest text and others stay.
+    Texts alone link rows. Rows that share an id, or have none, are judged each by itself, so that no text goes for another that is
+    not like it. Blank and null texts stay; of equal rows one stays; an empty table gives no rows; columns are kept as they are.
     """
-    found = near_groups(documents, percent).filter("n > 0").groupBy("doc_id").agg(
-        F.min("component").alias("component"), F.count("*").alias("held"))
-    out = found.filter("doc_id != component or held > 1")
-    worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    whole = documents.select(F.struct("*").alias("doc"), F.when(worded, F.col("doc_id")).alias("id"))
-    marked = whole.join(out, F.col("id") == F.col("doc_id"), "left").filter("component is null or doc_id = component")
-    single = marked.filter("component is null").select("doc.*")
-    # With a number of its own for each row, only texts link the rows of a kept id.
-    again = staged(marked.filter("component is not null").select("doc", F.monotonically_increasing_id().alias("row")))
-    if again.isEmpty():
-        return single
-    alike = near_groups(again.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), percent).select(
-        F.col("doc_id").alias("row"), "component")
-    first = again.join(alike, "row").groupBy("component").agg(F.min_by("doc", F.struct("doc.text")).alias("doc")).select("doc.*")
-    return single.union(first)
+    # A row's number is fixed by the written table, however often it is read.
+    rows = staged(documents.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")))
+    grouped = staged(near_groups(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), percent).filter("n > 0").select(
+        F.col("doc_id").alias("row"), "component"))
+    several = grouped.groupBy("component").agg(F.count("*").alias("held")).filter("held > 1")
+    members = grouped.join(several, "component", "left_semi")
+    if members.isEmpty():
+        return rows.select("doc.*")
+    order = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), F.col("doc.text").alias("text"), "row")
+    first = rows.join(members, "row").groupBy("component").agg(F.min(order).alias("first")).select("first.row")
+    gone = members.join(first, "row", "left_anti").select("row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")

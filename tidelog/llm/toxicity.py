@@ -103,17 +103,22 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, *, prior: float | No
     pool = documents.select(F.col("doc_id").alias("id"), "text").filter(~held_out(F.col("id")) & F.col("text").isNotNull())
     toxic = known.filter((F.col("y") == 1) & share_of(n_toxic, max_positive, F.col("id"), seed)).select(
         "id", F.lit(True).alias("hit"))
-    n_pool = documents.count()
+    joined = pool.join(F.broadcast(toxic), "id", "left")  # at most about max_positive ids
+    n_pool, n_hit = joined.agg(F.count("*"), F.count("hit")).first()
+    # Drawn by id and text, so that many rows of one id, or of none, neither fill the sample nor are left out together.
+    hit = F.col("hit") & share_of(n_hit, max_positive, F.col("id"), seed + 2, F.col("text"))
     sample = (
-        pool.join(F.broadcast(toxic), "id", "left")  # at most about max_positive ids
-        .withColumn("drawn", share_of(n_pool, max_unlabelled, F.col("id"), seed + 1))
+        joined.withColumn("hit", hit)
+        .withColumn("drawn", share_of(n_pool, max_unlabelled, F.col("id"), seed + 1, F.col("text")))
         .filter(F.col("hit") | F.col("drawn"))
         .select("text", F.explode(F.expr("filter(array(if(hit, 1, 0), if(drawn, 0, -1)), "
                                          "(x, i) -> if(i = 0, x = 1, x = 0))")).alias("p"))
         .dropDuplicates(["text", "p"]))
     sample = staged(sample)
     n_p, n_u = (sample.filter(F.col("p") == k).count() for k in (1, 0))
-    if not n_p or not n_u:
+    if n_hit and n_pool and not (n_p and n_u):
+        raise ValueError(f"the sample has {n_p} toxic and {n_u} other texts of {n_hit} and {n_pool}; draw it larger")
+    if not n_p or not n_u:  # no confirmed document has a text
         return ToxicityModel({}, -10.0, prior)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
