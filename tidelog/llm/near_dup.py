@@ -221,7 +221,14 @@ def drop_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     not like it. Blank and null texts stay; of equal rows one stays; an empty table gives no rows; columns are kept as they are.
     """
     # A row's number is fixed by the written table, however often it is read.
-    rows = staged(documents.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")))
+    rows = staged(documents.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("place")))
+    ids = rows.groupBy(F.col("doc.doc_id").cast("long").alias("id")).agg(F.count("*").alias("held"))
+    shared = ids.filter("held > 1 and id is not null").select("id")
+    # Rows alone under their id go by it, so that the smallest id leads its group; others get numbers below all ids.
+    least = rows.agg(F.least(F.min("doc.doc_id").cast("long"), F.lit(0))).first()[0] or 0
+    alone = F.col("id").isNull() & F.col("doc.doc_id").isNotNull() & F.lit(least > -(1 << 62))
+    own = F.when(alone, F.col("doc.doc_id").cast("long")).otherwise(F.lit(max(least, -(1 << 62)) - 1) - F.col("place"))
+    rows = rows.join(shared, F.col("doc.doc_id") == F.col("id"), "left").select("doc", own.alias("row"))
     grouped = staged(near_groups(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), percent).filter("n > 0").select(
         F.col("doc_id").alias("row"), "component"))
     several = grouped.groupBy("component").agg(F.count("*").alias("held")).filter("held > 1")
