@@ -41,7 +41,7 @@ STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_dedup", nea
           ("decontamination", decontamination), ("packing", packing)]
 
 # The first stage is a trained classifier and the last a tokenizer and a search: SQL can express neither. The tests hold
-# run() against brute force.
+# each stage's operator against brute force.
 ORACLE_SQL = None
 
 
