@@ -25,8 +25,7 @@ def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
 
     home is the smallest document that has it. Sketches of each task's lines merge in one aggregation. Estimates are
     right within three standard errors, so lines further from the threshold are decided by them, and only the lines
-    in between have their distinct sites counted. Lines whose smallest and greatest site are equal need no sketch
-    result. A null site is no site.
+    in between have their distinct sites counted. A null site is no site.
     """
     near = max(1.0, 3 * 1.04 / 2 ** (LG_K / 2) * min_sites)
     spread = staged(
