@@ -295,4 +295,13 @@ from topic, share""",
     "append_offsets_blocks": """
 select event_id, cast(user_id % 4 as integer) as "partition",
   row_number() over (partition by user_id % 4 order by event_id) - 1 + 1000 * (user_id % 4) as "offset" from events""",
+    "stats_delta_two_runs": f"""with {TICKS}
+select case when seq <= (select max(event_id) // 2 from events) then 1 else 2 end as run, client, seq, requests, wire_bytes
+from deltas""",
+    "stream_land_latest": f"""
+with {EV},
+begun as (select part, max(off) as last from ev where ts < {MID} group by part)
+select case when ts < timestamp '2024-01-22 00:00:00' then 1 else 2 end as batch, part as "partition", off as "offset", k as "key",
+  v as "value"
+from ev left join begun using (part) where ts >= {MID} and off > coalesce(last, -1)""",
 }

@@ -27,6 +27,8 @@ from tidelog.options import ReadOptions, WriteOptions
 from tidelog.plans.feed import feed_run, feed_topic, land_topic, landed_rows, write_run
 from tidelog.plans.relay import relay
 from tidelog.plans.state import load_token
+from tidelog.plans.stats import land_deltas, landed_deltas
+from tidelog.schema import LOG_SCHEMA
 from tidelog.session import scratch_path, use_utc
 from tidelog.sinks.append import append_offsets, append_to_log
 from tidelog.sinks.records import to_records
@@ -34,7 +36,7 @@ from tidelog.sources.catalogue import (
     catalogue_marks, commit_append, create_topic, log_files, offsets_at_indexed, raise_low,
 )
 from tidelog.sources.logs import as_log, discover_partitions, header, load_log, offsets_at, watermarks
-from tidelog.streaming.stream import stream_feed, stream_land
+from tidelog.streaming.stream import LANDED_SCHEMA, stream_feed, stream_land
 
 MIDMONTH = datetime(2024, 1, 15, tzinfo=timezone.utc)
 LATER = datetime(2024, 1, 22, tzinfo=timezone.utc)
@@ -591,4 +593,30 @@ def q_bounds_limited(spark, sf_dir):
     return runs[0].unionByName(runs[1]).unionByName(runs[2]).select("run", "partition", "offset", "key")
 
 
+def q_stats_delta_two_runs(spark, sf_dir):
+    """Ticks of which every other one repeats members, in two runs by sequence number, in blocks of 4,096 numbers."""
+    told = ticks(spark, sf_dir)
+    again = F.concat(F.lit('{"tx":12345,"tx_bytes":"x",'), F.expr("substring(stats, 2)"))
+    told = told.withColumn("stats", F.when((F.col("seq") % 2 == 0) & F.col("stats").startswith("{"), again).otherwise(F.col("stats")))
+    half = told.agg(F.max("seq")).head()[0] // 2
+    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
+    land_deltas(told.where(F.col("seq") <= half), "events", landed, state, bits=12)
+    land_deltas(told.where(F.col("seq") > half), "events", landed, state, bits=12)
+    return landed_deltas(spark, landed, state, "events").select("run", "client", "seq", "requests", "wire_bytes")
+
+
+def q_stream_land_latest(spark, sf_dir):
+    """A stream that begins at the end of a log: three batches, the second and third with copies of all that came before."""
+    topic, landed, state, checkpoint = (scratch_path(spark, n) for n in ("topic", "landed", "state", "checkpoint"))
+    log, when = events_log(spark, sf_dir), F.col("timestamp")
+    mid, later = F.lit(MIDMONTH), F.lit(LATER)
+    for part in (log.where(when < mid), log.where(when < later), log):
+        part.write.mode("append").parquet(topic)
+        stream_land(
+            spark.readStream.schema(LOG_SCHEMA).parquet(topic), ReadOptions("events", "latest"), landed, state, checkpoint,
+            known=spark.read.schema(LOG_SCHEMA).parquet(topic)).awaitTermination()
+    return spark.read.schema(LANDED_SCHEMA).parquet(landed).select(
+        F.col("batch_id").alias("batch"), "partition", "offset", "key", "value")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")}

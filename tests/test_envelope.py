@@ -124,3 +124,18 @@ def test_compaction_keeps_the_last_value_and_obeys_tombstones(make_log):
         (1, 0, "a", "elsewhere"), (1, 1, "d", None), (1, 2, "d", "back")])
     got = [(r["partition"], r["offset"], r["key"].decode(), r["value"].decode()) for r in compacted_view(log).collect()]
     assert sorted(got) == [(0, 1, "b", "kept"), (0, 2, "a", "new"), (1, 0, "a", "elsewhere"), (1, 2, "d", "back")]
+
+
+@pytest.mark.parametrize("shape", [compacted_view, dedupe_redelivered])
+def test_payloads_of_single_records_are_not_grouped(spark, make_log, tmp_path, shape):
+    make_log([(0, o, str(o % 7), "v") for o in range(50)]).write.parquet(str(tmp_path / "log"))
+    plan = shape(spark.read.parquet(str(tmp_path / "log")))._jdf.queryExecution().executedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "SortAggregate" in line]
+    # Only the copies of repeated records are: the partial and the final step of their own branch.
+    assert len(grouped) == (0 if shape is compacted_view else 2)
+
+
+def test_copies_of_one_record_may_be_most_of_the_rows(make_log):
+    copies = make_log([(0, 5, "hot", "same")] * 60 + [(0, o, "k", str(o)) for o in range(5)] + [(1, 5, "k", "other")] * 2)
+    assert pairs(dedupe_redelivered(envelope(copies)), "partition", "offset", "value") == [
+        *[(0, o, str(o)) for o in range(5)], (0, 5, "same"), (1, 5, "other")]

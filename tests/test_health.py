@@ -9,6 +9,8 @@ from tidelog.functions.classify import classify_errors
 from tidelog.functions.redact import redact, redact_properties, redact_values, usable_secrets
 from tidelog.operators.health import first_failure, parse_ticks, stats_totals, tick_deltas, with_request_floor
 from tidelog.operators.prefix import dense_rank_in_order
+from tidelog.plans import stats
+from tidelog.plans.stats import land_deltas, landed_deltas
 
 FINAL_CODES = (
     "Local_Authentication", "Local_Ssl", "TopicAuthorizationFailed", "UnknownTopicOrPart", "OffsetOutOfRange",
@@ -48,6 +50,45 @@ def test_only_whole_numbers_count_and_only_objects_are_ticks(spark):
         (1, 0, 0, 7), (4, 0, 0, 0), (5, 9, 0, 0), (6, 0, 0, 0), (9, 0, 0, 0)]
 
 
+def test_the_last_of_a_repeated_member_counts(spark):
+    told = ticks(
+        spark, ("a", 1, '{"tx":1,"tx":8}'), ("a", 2, ' {"tx":5,"tx":"5","rx_bytes":3}'), ("a", 3, '{"tx":1,"tx":2'),
+        ("a", 4, '{"tx":1,"tx":2} {"tx":9}'), ("a", 5, '{"tx":1,"tx":2},{"tx":9}'), ("a", 6, '[{"tx":1,"tx":2}]'),
+        ("a", 7, '{"x":{"tx":1,"tx":2},"tx":6}'), ("a", 8, "{'tx':1}"), ("a", 9, '{"x":1,"x":[2,{"tx":4}],"tx_bytes":7}'))
+    assert pairs(parse_ticks(told), "seq", "tx", "tx_bytes", "rx_bytes") == [
+        (1, 8, 0, 0), (2, 0, 0, 3), (7, 6, 0, 0), (9, 0, 7, 0)]
+
+
+def test_runs_one_after_the_other_add_what_one_run_adds(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot", "hot", "b", None]), i, f'{{"tx":{rng.randint(-9, 99)},"rx_bytes":{rng.randint(0, 99)}}}')
+            for i in range(240)]
+    landed, state = str(tmp_path / "landed"), str(tmp_path / "state")
+    for run, (low, high) in enumerate([(0, 90), (90, 91), (91, 91), (91, 240)], 1):
+        assert land_deltas(ticks(spark, *rows[low:high], ("z", 1000 + run, "no tick")), "clients", landed, state, bits=12) == run
+    shown = ["client", "seq", "requests", "wire_bytes"]
+    key = lambda r: r[1]
+    whole = sorted(map(tuple, tick_deltas(parse_ticks(ticks(spark, *rows))).select(*shown).collect()), key=key)
+    found = landed_deltas(spark, landed, state, "clients")
+    assert sorted(map(tuple, found.select(*shown).collect()), key=key) == whole
+    assert {r["run"] for r in found.select("run").distinct().collect()} == {1, 2, 4}
+
+
+def test_a_run_that_ended_before_its_commit_counts_no_tick_twice(spark, tmp_path, monkeypatch):
+    landed, state = str(tmp_path / "landed"), str(tmp_path / "state")
+    assert landed_deltas(spark, landed, state, "c") is None
+    land_deltas(ticks(spark, ("a", 1, '{"tx":3}')), "c", landed, state)
+    with monkeypatch.context() as broken:
+        def lost(*_):
+            raise OSError("driver lost")
+        broken.setattr(stats, "store_token", lost)
+        with pytest.raises(OSError):
+            land_deltas(ticks(spark, ("a", 2, '{"tx":10}')), "c", landed, state)
+    assert pairs(landed_deltas(spark, landed, state, "c"), "run", "seq", "requests") == [(1, 1, 3)]
+    assert land_deltas(ticks(spark, ("a", 2, '{"tx":10}'), ("a", 3, '{"tx":11}')), "c", landed, state) == 2
+    assert pairs(landed_deltas(spark, landed, state, "c"), "run", "seq", "requests") == [(1, 1, 3), (2, 2, 7), (2, 3, 1)]
+
+
 def test_a_client_that_never_ticked_made_one_request(spark):
     told = ticks(spark, ("a", 1, '{"tx":4}'), ("b", 1, '{"tx":0}'), ("c", 1, "broken"))
     clients = spark.createDataFrame([(c,) for c in "abccd"], "client string")

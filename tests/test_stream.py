@@ -1,17 +1,19 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from rows import pairs
+from tidelog.errors import FeedRefused
 from tidelog.operators.reading import envelope
 from tidelog.options import ReadOptions, WriteOptions
-from tidelog.plans.state import load_token
+from tidelog.plans.state import load_token, stored_tokens
 from tidelog.schema import LOG_SCHEMA
 from tidelog.sinks.append import key_partition
 from tidelog.sources.logs import load_log
-from tidelog.streaming.stream import stream_append, stream_feed, stream_land
+from tidelog.streaming.stream import LANDED_SCHEMA, stream_append, stream_feed, stream_land
 
 
 @pytest.fixture
@@ -105,6 +107,30 @@ def test_state_ahead_of_its_checkpoint_is_refused(topic, land_once, tmp_path):
         land_once(str(tmp_path / "fresh-checkpoint"))
 
 
+@pytest.mark.parametrize("start", ["latest", datetime(2025, 3, 2, tzinfo=timezone.utc)])
+def test_a_stream_begins_where_it_is_told_and_stays_there(spark, topic, make_log, tmp_path, start):
+    def add(*rows):
+        first, second = datetime(2025, 3, 1), datetime(2025, 3, 3)
+        make_log([(p, o, None, v, None, first if o < 2 else second) for p, o, v in rows]).coalesce(1).write.mode("append").parquet(
+            topic.files)
+
+    paths = [str(tmp_path / n) for n in ("late", "late-state", "late-checkpoint")]
+
+    def run(begin, known=None):
+        stream_land(topic.stream(), ReadOptions("orders", begin), *paths, known=known).awaitTermination()
+        return pairs(spark.read.schema(LANDED_SCHEMA).parquet(paths[0]), "partition", "offset", "value")
+    add((0, 0, "a"), (0, 1, "b"), (1, 0, "x"))
+    with pytest.raises(FeedRefused, match="as a table"):
+        run(start)
+    assert run(start, spark.read.schema(LOG_SCHEMA).parquet(topic.files)) == []
+    assert load_token(spark, paths[1], "orders")[0] == '{"v":1,"topic":"orders","partitions":{"0":2,"1":1}}'
+    add((0, 1, "b"), (0, 2, "c"), (2, 0, "new"))
+    assert run(start) == [(0, 2, "c"), (2, 0, "new")]
+    add((0, 0, "a"), (0, 2, "c"), (1, 0, "x"), (1, 1, "y"), (2, 0, "new"))
+    assert run("earliest") == [(0, 2, "c"), (1, 1, "y"), (2, 0, "new")]
+    assert [r["topic"] for r in stored_tokens(spark, paths[1]).collect()] == ["orders"]
+
+
 def test_a_stream_appends_to_a_log(spark, topic, tmp_path):
     out, write = str(tmp_path / "out"), WriteOptions.parse("copy", {"key": "offset"})
     for start in (0, 5):

@@ -15,31 +15,54 @@ def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
 
-def _counter(tick: Column, name: str) -> Column:
+def _whole(found: Column) -> Column:
     """A whole JSON number, else 0. Strings and fractions count as 0, so the kind is checked first."""
-    found = F.try_variant_get(tick, f"$.{name}", "variant")
     whole = F.schema_of_variant(found) == "BIGINT"
-    return F.when(whole, F.try_variant_get(tick, f"$.{name}", "bigint")).otherwise(_zero())
+    return F.when(whole, F.try_variant_get(found, "$", "bigint")).otherwise(_zero())
 
 
-def parse_ticks(ticks: DataFrame, column: str = "stats") -> DataFrame:
-    """Replace the statistics JSON by its cumulative counters; ticks that are not JSON objects are ignored."""
-    kept = [c for c in ticks.columns if c != column]
-    # Exploding drops what does not parse. A filter would be pushed down and parse every tick twice.
-    tick = F.explode(F.array_compact(F.array(F.try_parse_json(F.col(column)))))
-    objects = ticks.select(*kept, tick.alias("_tick")).where(F.schema_of_variant("_tick").startswith("OBJECT"))
-    return objects.select(
-        *kept, *[_counter(F.col("_tick"), c).alias(c) for c in COUNTERS])
+def _counter(tick: Column, name: str) -> Column:
+    return _whole(F.try_variant_get(tick, f"$.{name}", "variant"))
+
+
+def _counters(member) -> Column:
+    return F.struct(*[member(c).alias(c) for c in COUNTERS])
+
 
+def _last_of_each(text: Column) -> Column:
+    """The counters of an object that names a member twice, which no variant can hold; the last one counts."""
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    shape = f"array<struct<{', '.join(f'{c}: variant' for c in COUNTERS)}>>"
+    found = F.from_json(listed, shape, {"allowSingleQuotes": "false"})
+    one_object = text.rlike(r"^\s*\{") & (F.json_array_length(listed) == 1) & (F.size(found) == 1)
+    return F.when(one_object, _counters(lambda c: _whole(found[0][c])))
 
-def tick_deltas(counters: DataFrame, client: str = "client", seq: str = "seq", bits: int = BLOCK_BITS) -> DataFrame:
+
+def parse_ticks(ticks: DataFrame, column: str = "stats") -> DataFrame:
+    """Replace the statistics JSON by its cumulative counters; ticks that are not JSON objects are ignored.
+
+    A member that a tick repeats counts with its last value. Only such ticks and broken ones are parsed a second time.
+    """
+    kept = [c for c in ticks.columns if c != column]
+    # Exploding keeps parsing out of filters, which would be pushed down and parse every tick twice.
+    tick = F.explode(F.array(F.try_parse_json(F.col(column)))).alias("_tick")
+    parsed = ticks.select(*kept, F.col(column).alias("_text"), tick)
+    plain = F.when(F.schema_of_variant("_tick").startswith("OBJECT"), _counters(lambda c: _counter(F.col("_tick"), c)))
+    counters = F.when(F.col("_tick").isNotNull(), plain).otherwise(_last_of_each(F.col("_text")))
+    found = parsed.select(*kept, F.explode(F.array_compact(F.array(counters))).alias("_found"))
+    return found.select(*kept, *[F.col(f"_found.{c}").alias(c) for c in COUNTERS])
+
+
+def tick_deltas(
+    counters: DataFrame, client: str = "client", seq: str = "seq", bits: int = BLOCK_BITS, before: DataFrame | None = None
+) -> DataFrame:
     """Per tick, what it adds: requests from tx, wire bytes from tx_bytes and rx_bytes.
 
     A delta is measured against the highest value so far, so a counter that falls back adds nothing.
-    ``seq`` is a bigint unique within a client.
+    ``seq`` is a bigint unique within a client. ``before`` are highs (client, tx, tx_bytes, rx_bytes) of earlier ticks.
     """
     highs = {c: f"_prev_{c}" for c in COUNTERS}
-    seen = running_max_before(counters, [client], seq, highs, bits)
+    seen = running_max_before(counters, [client], seq, highs, bits, before)
 
     def delta(name: str) -> Column:
         previous = F.greatest(F.col(highs[name]), _zero())
@@ -51,6 +74,14 @@ def tick_deltas(counters: DataFrame, client: str = "client", seq: str = "seq", b
     )
 
 
+def counter_highs(counters: DataFrame, client: str = "client", before: DataFrame | None = None) -> DataFrame:
+    """The highest counters of each client, from ``before`` on; a client without ticks here keeps what it had."""
+    told = counters.select(client, *COUNTERS)
+    if before is not None:
+        told = told.unionByName(before.select(client, *COUNTERS))
+    return told.groupBy(client).agg(*[F.max(c).alias(c) for c in COUNTERS])
+
+
 def stats_totals(counters: DataFrame, client: str = "client") -> DataFrame:
     """Requests and wire bytes per client.
 

@@ -82,15 +82,21 @@ def dense_rank_in_order(
 
 
 def running_max_before(
-    df: DataFrame, keys: Sequence[str], seq: str, columns: dict[str, str], bits: int = BLOCK_BITS
+    df: DataFrame, keys: Sequence[str], seq: str, columns: dict[str, str], bits: int = BLOCK_BITS,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """Per row, the maximum of each column over the key's earlier rows (null on the first).
 
-    ``columns`` maps a column to the name of its running maximum.
+    ``columns`` maps a column to the name of its running maximum. ``starts`` (keys, columns; one row per key) are maxima from
+    before the first row; like block totals they meet the carry only and never the rows.
     """
     blocked = df.withColumn("_key", _whole_key(keys)).withColumn("_block", block_of(F.col(seq), bits))
     partials = blocked.groupBy("_key", "_block").agg(*[F.max(c).alias(c) for c in columns])
     carry = block_carry(partials, ["_key"], list(columns), F.max, F.greatest, bits, 64 - bits)
+    if starts is not None:
+        held = starts.select(_whole_key(keys).alias("_key"), *[F.col(c).alias(f"_start_{c}") for c in columns])
+        carry = carry.join(held, "_key", "left").select(
+            "_key", "_block", *[F.greatest(c, f"_start_{c}").alias(c) for c in columns])
     carry = carry.select("_key", "_block", *[F.col(c).alias(f"_carry_{c}") for c in columns])
     before = Window.partitionBy("_key", "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     local = blocked.select("*", *[F.max(c).over(before).alias(f"_local_{c}") for c in columns])

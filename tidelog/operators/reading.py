@@ -97,21 +97,28 @@ def landed_counts(landed: DataFrame) -> DataFrame:
 
 
 def dedupe_redelivered(landed: DataFrame) -> DataFrame:
-    """One row per (topic, partition, offset); copies collapse on the map side, before the shuffle."""
-    return landed.dropDuplicates(RECORD_ID)
+    """One row per (topic, partition, offset).
+
+    Ids alone are counted first. A record delivered once passes by a join with the repeated ids, which
+    AQE broadcasts while they are few, so its payload is neither sorted nor grouped. Copies collapse on the map
+    side, before their shuffle, so one id may hold any share of the rows. Ids are never null in a landed table.
+    """
+    repeated = landed.groupBy(*RECORD_ID).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(*RECORD_ID)
+    once = landed.join(repeated, RECORD_ID, "left_anti").select(*landed.columns)
+    copies = landed.join(repeated, RECORD_ID, "left_semi").select(*landed.columns)
+    return once.unionByName(copies.dropDuplicates(RECORD_ID))
 
 
 def compacted_view(log: DataFrame) -> DataFrame:
     """The last record of each key of a partition, without keys whose last record is a tombstone.
 
-    A compacted topic holds keyed records only. ``max_by`` merges on the map side, so even a key
-    with a third of all rows sends one row per map task.
+    A compacted topic holds keyed records only. The last offset of each key is found from key and offset alone, merged
+    on the map side, so even a key with a third of all rows sends one row per map task; payloads are read by a semi-join
+    with the winning offsets, which AQE broadcasts while they are few. A log holds each offset of a partition once; a landed
+    table that may hold copies goes through dedupe_redelivered first.
     """
     keyed = log.where(F.col("key").isNotNull())
-    last = keyed.groupBy("topic", "partition", "key").agg(
-        F.max_by(F.struct("offset", "timestamp", "value", "headers"), "offset").alias("last")
-    )
-    return last.where(F.col("last.value").isNotNull()).select(
-        "topic", "partition", F.col("last.offset").alias("offset"), F.col("last.timestamp").alias("timestamp"),
-        "key", F.col("last.value").alias("value"), F.col("last.headers").alias("headers"),
-    )
+    last = keyed.groupBy("topic", "partition", "key").agg(F.max("offset").alias("offset")).select(*RECORD_ID)
+    won = log.join(last, RECORD_ID, "left_semi")
+    return won.where(F.col("value").isNotNull()).select(
+        "topic", "partition", "offset", "timestamp", "key", "value", "headers")

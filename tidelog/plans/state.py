@@ -22,8 +22,8 @@ def store_token(token: DataFrame, path: str, run: int) -> None:
 
 
 def stored_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The latest token of every topic."""
-    return _latest(spark.read.schema(STATE_DDL).parquet(path))
+    """The latest token of every topic, without what streams keep beside it (their names hold '#')."""
+    return _latest(spark.read.schema(STATE_DDL).parquet(path).where(~F.contains("topic", F.lit("#"))))
 
 
 def _latest(states: DataFrame) -> DataFrame:
