@@ -91,7 +91,6 @@ def coder():
     tokenizers = pytest.importorskip("tokenizers")
     pytest.importorskip("public_tokenizers")
     t = tokenizers.Tokenizer.from_file(public_tokenizer())
-    t.encode_special_tokens = True
     return TokenBytes(public_tokenizer()), lambda x: np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
@@ -102,6 +101,13 @@ def test_ids_are_the_tokenizers(coder, text):
     assert fast(text) == plain(text)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a<|endoftext|> b", "a  <|endoftext|><|endoftext|>\nb ", "<|endoftext", " <|endoftext|>x y"])
+def test_the_string_of_an_added_token_is_that_token(coder, text):
+    fast, plain = coder
+    assert fast(text) == plain(text)
+    assert (50256 in np.frombuffer(fast(text), "<u4")) == ("<|endoftext|>" in text)
+
+
 def test_packing_round_trip(docs, coder):
     r = random.Random(2)
     rows = [(i, " ".join(r.choice(["alpha", "be", "gamma1", "x.\ny"]) for _ in range(r.choice([3, 90, 900, 2500])))) for i in range(40)]

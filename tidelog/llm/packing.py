@@ -26,14 +26,20 @@ def public_tokenizer() -> str:
 
 
 class TokenBytes:
-    """The ids of a text as little-endian 32-bit numbers.
+    """The ids of a text as little-endian 32-bit numbers, as the tokenizer gives them without adding special tokens.
 
     The byte-level pattern never crosses a blank between two other characters, so a text without odd white space is
     encoded blank by blank, and each part only once. Other texts are encoded whole. The same vocabulary in its
-    rank form, if it lies beside the file, encodes faster with the same ids.
+    rank form, if it lies beside the file, encodes faster with the same ids. A text that holds the string of an added token
+    goes to the tokenizer itself, which gives that token's id for it.
     """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        whole = Tokenizer.from_file(path)
+        self.whole = lambda text: whole.encode(text, add_special_tokens=False).ids
+        added = [t.content for t in whole.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) if added else r"(?!)")
         ranks = re.sub(r"\.json$", ".tiktoken", path)
         try:
             import public_tokenizers
@@ -43,10 +49,7 @@ class TokenBytes:
             coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
             self.ids = coder.encode_ordinary
         except (ImportError, FileNotFoundError):
-            from tokenizers import Tokenizer
-            coder = Tokenizer.from_file(path)
-            coder.encode_special_tokens = True
-            self.ids = lambda text: coder.encode(text, add_special_tokens=False).ids
+            self.ids = self.whole
         encode = self.encode
 
         class Parts(dict):
@@ -61,6 +64,8 @@ class TokenBytes:
         return np.array(self.ids(text), dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if self.added.search(text):
+            return np.array(self.whole(text), dtype="<u4").tobytes()
         if ODD_SPACE.search(text):
             return self.encode(text)
         first, *rest = text.split(" ")
@@ -247,15 +252,15 @@ def pack(documents: DataFrame, tokenizer: str, limit: int = 1024, end_id: int =
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every row (doc_id, text).
 
     Pieces of one length are alike to the packing, so what is searched is the count of each length, limit numbers
-    however many rows there are. Each piece then gets its rank within its length, from blocks of a hash, and
-    its place from the plan. Null and empty texts are the end id alone; null and repeated ids are packed row by row; an
+    however many rows there are. Each piece then gets its rank within its length, from blocks of a hash (of the
+    staged row too, so equal rows fill no block), and its place from the plan. Null and empty texts are the end id alone; null and repeated ids are packed row by row; an
     empty table gives no rows.
     """
-    pieces = staged(token_pieces(documents, tokenizer, limit, end_id))
+    pieces = staged(token_pieces(documents, tokenizer, limit, end_id).withColumn("tag", F.monotonically_increasing_id()))
     held = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most limit rows
     runs = dealt(bin_completion(held, limit))
     blocks = max(1, sum(held.values()) // BLOCK_ROWS)
-    block = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "tag"), F.lit(blocks)).cast("int")
     order = ranked(pieces.withColumn("block", block), ["length"], "block", ["doc_id", "piece", "ids_crc32", "start"], "rank")
     sent = documents.sparkSession.sparkContext.broadcast(runs)
 
@@ -268,7 +273,7 @@ def pack(documents: DataFrame, tokenizer: str, limit: int = 1024, end_id: int =
                 first, base, place = sent.value[int(x)]
                 run = np.searchsorted(first, rank[mine], "right") - 1
                 sequence[mine], offset[mine] = base[run] + rank[mine] - first[run], place[run]
-            yield batch.drop(columns=["rank", "block"]).assign(sequence_id=sequence, offset=offset).astype({"doc_id": "Int64"})
+            yield batch.drop(columns=["rank", "block", "tag"]).assign(sequence_id=sequence, offset=offset).astype({"doc_id": "Int64"})
 
     return order.mapInPandas(
         placed, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
