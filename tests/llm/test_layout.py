@@ -157,6 +157,44 @@ def test_top_k_is_brute_force(spark, monkeypatch):
     assert exact_top_k(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_scores_are_exact_over_the_whole_range_of_a_long(spark):
+    rows = [(0, [3e9 / 256, 0.0]), (1, [-2e9 / 256, 0.0]), (2, [-3e9 / 256, 1.0]), (3, [-1e10 / 256, 0.0]), (4, [1e10 / 256, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(g.query_id, g["rank"]): (g.vec_id, g.score) for g in exact_top_k(table, F.col("vec_id") == 0).collect()}
+    assert got == {(0, 1): (4, (1 << 63) - 1), (0, 2): (1, -6 * 10**18), (0, 3): (2, -9 * 10**18), (0, 4): (3, -(1 << 63))}
+
+
+def clustered(rows, groups, seed=4):
+    """Vectors in tight groups, whose neighbours lie within their group."""
+    r = np.random.default_rng(seed)
+    x = r.normal(size=(groups, 16))
+    return 5 * (x / np.linalg.norm(x, axis=1)[:, None])[r.integers(0, groups, rows)] + 0.05 * r.normal(size=(rows, 16))
+
+
+def test_blocks_of_clustered_vectors_are_pruned_down_the_tree(spark, monkeypatch):
+    monkeypatch.setattr(topk, "DATA_ROWS", 60)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 20)
+    x = clustered(1500, 40)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    seen = {}
+    searched = topk._searched
+
+    def counted(meetings, queries, data, k):
+        seen["scored"] = meetings.count()
+        seen["all"] = queries.select("q_block").distinct().count() * data.select("block").distinct().count()
+        return searched(meetings, queries, data, k)
+    monkeypatch.setattr(topk, "_searched", counted)
+    got = {(g.query_id, g["rank"]): (g.vec_id, g.score) for g in exact_top_k(table, F.col("vec_id") % 5 == 0).collect()}
+    whole = np.floor(256 * x).astype(np.int64)
+    want = {}
+    for q in range(0, 1500, 5):
+        scores = whole @ whole[q]
+        order = [i for i in np.lexsort((np.arange(1500), -scores)) if i != q][:5]
+        want.update({(q, n): (int(i), int(scores[i])) for n, i in enumerate(order, 1)})
+    assert got == want
+    assert seen["scored"] < 0.5 * seen["all"]
+
+
 def test_components(spark):
     r = random.Random(8)
     edges = [(i, i + 1) for i in range(60)] + [(500, 500 + i) for i in range(40)] + [(900, 900), (None, 3), (4, None)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -15,9 +16,12 @@ from tidelog.llm.common import staged
 LEAF = 64
 CELLS = 32
 DATA_ROWS = 8192
-QUERY_ROWS = 1024
+QUERY_ROWS = 2048
+LEVELS = 12
+SPREAD = 8
 EXACT = 1 << 52
-LEAST, MOST = -(1 << 62), (1 << 63) - 1
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+NO_ID = np.iinfo(np.int64).max
 
 
 @dataclass
@@ -55,36 +59,37 @@ def cover_tree(x: np.ndarray, rows: np.ndarray | None = None, centre: int | None
 
 
 class Best:
-    """The k best (score, then smaller id) of each query so far."""
+    """The k best (score, then smaller id) of each query so far; a place not yet taken has NO_ID."""
 
     def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
         self.score = np.full((n, k), LEAST, dtype=np.int64)
-        self.id = np.full((n, k), np.iinfo(np.int64).max, dtype=np.int64)
+        self.id = np.full((n, k), NO_ID, dtype=np.int64)
+        self.taken = np.zeros((n, k), dtype=bool)
         self.floor = np.full(n, -np.inf) if floor is None else floor
 
     def worst(self, rows: np.ndarray) -> float:
         """The least score that could still change any of these queries' results."""
-        last = self.score[rows, -1].astype(float)
-        last[self.id[rows, -1] == np.iinfo(np.int64).max] = -np.inf
+        last = np.where(self.taken[rows, -1], self.score[rows, -1].astype(float), -np.inf)
         return float(np.maximum(last, self.floor[rows]).min())
 
-    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """scores: rows x candidates. A query is no candidate of its own; its score there is the least number."""
+    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, own: np.ndarray) -> None:
+        """scores: rows x candidates; own marks those that are no candidates, the query itself."""
         s = np.concatenate([self.score[rows], scores], axis=1)
         i = np.concatenate([self.id[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-        i = np.where(s == LEAST, np.iinfo(np.int64).max, i)
-        order = np.lexsort((i, -s), axis=1)[:, : self.score.shape[1]]
+        t = np.concatenate([self.taken[rows], ~own], axis=1)
+        order = np.lexsort((i, ~s, ~t), axis=1)[:, : self.score.shape[1]]  # ~s falls as s rises, and no long overflows
         self.score[rows], self.id[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+        self.taken[rows] = np.take_along_axis(t, order, 1)
 
 
 def product(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Integer inner products. Doubles hold them exactly below 2**52; larger ones are made of whole numbers, and those
-    that no long holds end at LEAST + 1 or MOST."""
+    that no long holds end at LEAST or MOST."""
     high = float(np.sqrt((q.astype(float) ** 2).sum(1).max(initial=0) * (x.astype(float) ** 2).sum(1).max(initial=0)))
     if high < EXACT:
         return (q.astype(float) @ x.astype(float).T).astype(np.int64)
     whole = q.astype(object) @ x.astype(object).T
-    return np.minimum(np.maximum(whole, LEAST + 1), MOST).astype(np.int64)
+    return np.minimum(np.maximum(whole, LEAST), MOST).astype(np.int64)
 
 
 def dual_search(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, best: Best) -> int:
@@ -110,8 +115,7 @@ def dual_search(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray
             for part in range(0, len(b.rows), 1024):
                 at = b.rows[part: part + 1024]
                 s = product(q[a.rows], x[at])
-                s[q_ids[a.rows][:, None] == ids[at][None, :]] = LEAST
-                best.add(a.rows, s, ids[at])
+                best.add(a.rows, s, ids[at], q_ids[a.rows][:, None] == ids[at][None, :])
             done += 1
             continue
         pairs = [(most(u, v), u, v) for u in a.children or [a] for v in b.children or [b]]
@@ -129,117 +133,194 @@ def whole_vectors(vectors: DataFrame) -> DataFrame:
         "vec_id", v.alias("v"), F.size("embedding").alias("dim"))
 
 
-def _in_cells(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    def assigned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            cell = np.zeros(len(batch), np.int32)
-            for dim in batch.dim.unique():
-                at = np.flatnonzero(batch.dim == dim)
-                x, p = np.stack(batch.v.iloc[at]).astype(float), pivots.get(int(dim), np.zeros((1, int(dim))))
-                cell[at] = np.argmin((p * p).sum(1)[None, :] - 2 * x @ p.T, axis=1)
-            yield batch.assign(cell=cell)
-    return rows.mapInPandas(assigned, "vec_id long, v array<long>, dim int, is_query boolean, cell int")
-
-
-def _blocked(rows: DataFrame, most: int) -> DataFrame:
-    """rows with a block: each cell is cut by a hash into parts of about most rows."""
-    parts = rows.groupBy("dim", "cell").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
-    return staged(rows.join(parts, ["dim", "cell"]).select("dim", "cell", part.alias("part"), "vec_id", "v"))
+def _drawn(rows: DataFrame, big: DataFrame, cells: int, draw: Column) -> DataFrame:
+    """(path, pivots): of a sample of each big cell, SPREAD * cells vectors at most, the up to cells that lie farthest apart.
 
+    Each next pivot is the sampled vector farthest from those before, so a group of vectors apart from the others gets its own.
+    """
+    most = SPREAD * cells
+    share = F.lit(float(1 << 40)) * 2 * most / F.col("n")
+    low = draw.bitwiseAND(F.lit((1 << 40) - 1))
+    first = F.slice(F.array_sort(F.collect_list(F.struct(low.alias("draw"), "v"))), 1, most)
+    sample = rows.join(big, "path").filter(low < share).groupBy("path").agg(F.transform(first, lambda e: e.v).alias("sample"))
 
-def _summaries(blocks: DataFrame) -> DataFrame:
-    """(dim, cell, part, centre, radius) of each block, merged from what each batch of its rows gives."""
-    def means(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            chosen = []
+            for own in batch["sample"]:
+                x = np.stack([np.asarray(v, dtype=float) for v in own])
+                taken, near = [0], ((x - x[0]) ** 2).sum(1)
+                while len(taken) < cells and near.max() > 0:
+                    taken.append(int(near.argmax()))
+                    near = np.minimum(near, ((x - x[taken[-1]]) ** 2).sum(1))
+                chosen.append([own[k] for k in taken])
+            yield pd.DataFrame({"path": batch.path, "pivots": chosen})
+
+    return sample.mapInPandas(apart, "path string, pivots array<array<long>>")
+
+
+def _nearest(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Rows (path, part) with the path of their nearest pivot's cell. A task holds one part and its cell's pivots."""
+    def assigned(own: pd.DataFrame, of: pd.DataFrame) -> pd.DataFrame:
+        if own.empty or of.empty:
+            return own.head(0).drop(columns="part")
+        x, p = np.stack(own.v).astype(float), np.stack([np.asarray(v, dtype=float) for v in of.pivots.iloc[0]])
+        nearest = np.argmin((p * p).sum(1)[None, :] - 2 * x @ p.T, axis=1)
+        return own.drop(columns="part").assign(path=[f"{a}.{b}" for a, b in zip(own.path, nearest)])
+
+    key = ["path", "part"]
+    shape = "path string, vec_id long, v array<long>, is_query boolean"
+    return rows.select("path", "vec_id", "v", "is_query", "part").groupBy(*key).cogroup(pivots.groupBy(*key)).applyInPandas(assigned, shape)
+
+
+def in_cells(rows: DataFrame, most: int, cells: int, seed: int) -> tuple[DataFrame, int]:
+    """(path, block, vec_id, v, is_query) of rows (dim, vec_id, v, is_query), and how deep the deepest path is.
+
+    The upper levels of a cover tree, one level a pass: a cell of more than most rows is cut into the cells of its pivots, so
+    radii shrink as cells become many. A path is the dimension and the cell's number on each level. Only a cell
+    whose drawn vectors are all equal, or one LEVELS deep, is cut by a hash into blocks of about most rows instead.
+    """
+    rows = staged(rows.select(F.col("dim").cast("string").alias("path"), "vec_id", "v", "is_query"))
+    done = []
+    for level in range(LEVELS + 1):
+        draw = F.xxhash64(F.lit(seed + level), "vec_id", "v")
+        sizes = staged(rows.groupBy("path").agg(F.count("*").alias("n")))
+        big = sizes.filter(F.col("n") > most)
+        pivots = staged(_drawn(rows, big, cells if level < LEVELS else 0, draw).filter(F.size("pivots") > 1))
+        parts = big.withColumn("parts", F.ceil(F.col("n") / most).cast("int"))
+        cut = sizes.join(pivots, "path", "left_anti").select("path", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+        part = F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int")
+        done.append(rows.join(cut, "path").select(
+            "path", F.concat("path", F.lit("#"), part.cast("string")).alias("block"), "vec_id", "v", "is_query"))
+        if pivots.isEmpty():
+            return staged(functools.reduce(DataFrame.union, done)), level
+        open_cells = pivots.join(parts, "path")
+        each = open_cells.select("path", "pivots", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        rows = staged(_nearest(rows.join(open_cells.select("path", "parts"), "path").withColumn("part", part), each))
+    raise AssertionError("the last level draws no pivots")
+
+
+def _mean(rows: DataFrame, key: list[str], total: str = "total") -> DataFrame:
+    """(key, n, centre) of rows (key, n, total): sums of vectors added up component by component."""
+    return (
+        rows.select(*key, "n", F.posexplode(total).alias("k", "x")).groupBy(*key, "k")
+        .agg(F.sum("n").alias("n"), (F.sum("x") / F.sum("n")).alias("x")).groupBy(*key)
+        .agg(F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda e: e.x).alias("centre")))
+
+
+def _gap(a: str, b: str) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
+
+
+def block_balls(placed: DataFrame) -> DataFrame:
+    """(node, parent, n, centre, radius) of each block, merged from what each batch of its rows gives."""
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, own in batch.groupby(["dim", "cell", "part"], sort=True):
-                yield pd.DataFrame([(*key, len(own), np.stack(own.v).astype(float).sum(axis=0))],
-                                   columns=["dim", "cell", "part", "n", "total"])
-    sums = blocks.mapInPandas(means, "dim int, cell int, part int, n long, total array<double>")
-    key = ["dim", "cell", "part"]
-    centre = (
-        sums.select(*key, "n", F.posexplode("total").alias("k", "x")).groupBy(*key, "k")
-        .agg((F.sum("x") / F.sum("n")).alias("x")).groupBy(*key)
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda e: e.x).alias("centre")))
-    centre = staged(centre)
-    gap = F.aggregate(F.zip_with("v", "centre", lambda a, c: (a - c) * (a - c)), F.lit(0.0), lambda t, x: t + x)
-    return staged(blocks.join(centre, key).groupBy(*key).agg(
-        (F.sqrt(F.max(gap)) * (1 + 1e-9)).alias("radius"), F.first("centre").alias("centre")))
+            for (path, block), own in batch.groupby(["path", "block"], sort=True):
+                yield pd.DataFrame([(path, block, len(own), np.stack(own.v).astype(float).sum(axis=0))],
+                                   columns=["parent", "node", "n", "total"])
+    found = placed.select("path", "block", "v").mapInPandas(sums, "parent string, node string, n long, total array<double>")
+    centre = staged(_mean(found, ["node", "parent"]))
+    far = placed.select(F.col("block").alias("node"), "v").join(centre, "node").groupBy("node").agg(
+        (F.max(_gap("v", "centre")) * (1 + 1e-9)).alias("radius"))
+    return staged(centre.join(far, "node"))
+
+
+def tree_balls(blocks: DataFrame, depth: int) -> DataFrame:
+    """The blocks' balls and those of all cells above them: each holds the balls of its children."""
+    blocks = blocks.select("node", "parent", "n", "centre", "radius", F.lit(True).alias("leaf"))
+    every, below = [blocks], {}
+    level = F.size(F.split("parent", "\\."))
+    for at in range(depth + 1, 0, -1):
+        own = blocks.filter(level == at)
+        children = own.union(below[at]) if at in below else own
+        centre = _mean(children.withColumn("total", F.transform("centre", lambda x: x * F.col("n"))), ["parent"])
+        held = children.select("parent", F.col("centre").alias("c"), F.col("radius").alias("r")).join(centre, "parent").groupBy("parent").agg(
+            (F.max(_gap("c", "centre") + F.col("r")) * (1 + 1e-9)).alias("radius"))
+        cells = staged(centre.join(held, "parent").select(
+            F.col("parent").alias("node"), F.when(F.instr("parent", ".") > 0, F.regexp_replace("parent", r"\.[^.]*$", "")).alias("parent"),
+            "n", "centre", "radius", F.lit(False).alias("leaf")))
+        every.append(cells)
+        below[at - 1] = cells
+    return staged(functools.reduce(DataFrame.union, every))
+
+
+def meetings_within(queries: DataFrame, tree: DataFrame, depth: int) -> DataFrame:
+    """(q_block, d_block): the pairs that may hold a result, found down the tree.
+
+    queries (q_block, root, qc, qr, least): balls of query blocks, and the least floor of their queries. A pair of a block and a cell
+    whose best possible score stays below that floor ends there, with all that is below the cell.
+    """
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+    most = dot("qc", "centre") + F.sqrt(dot("qc", "qc")) * F.col("radius") + F.sqrt(dot("centre", "centre")) * F.col("qr") + F.col("qr") * F.col("radius")
+    pairs, found = queries.select("q_block", F.col("root").alias("at")), []
+    for level in range(1, depth + 2):
+        children = tree.filter(F.size(F.split("parent", "\\.")) == level)
+        met = staged(
+            pairs.join(children, F.col("at") == F.col("parent")).join(queries, "q_block")
+            .filter(most + F.abs(most) * 1e-9 + 1e-6 >= F.col("least")).select("q_block", F.col("node").alias("at"), "leaf"))
+        found.append(met.filter("leaf").select("q_block", F.col("at").alias("d_block")))
+        pairs = met.filter("not leaf").select("q_block", "at")
+    return functools.reduce(DataFrame.union, found)
 
 
-RESULT = "dim int, cell int, part int, query_id long, vec_id long, score long"
+RESULT = "query_id long, vec_id long, score long"
 
 
 def _searched(meetings: DataFrame, queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
-    """The k best of each query within each meeting (q, d, floor) of a query block and a data block."""
-    key = ["dim", "q_cell", "q_part", "d_cell", "d_part"]
-    left = meetings.select(*key).join(
-        queries.select("dim", F.col("cell").alias("q_cell"), F.col("part").alias("q_part"), "vec_id", "v", "floor"),
-        ["dim", "q_cell", "q_part"])
-    other = [f"r_{c}" for c in key]
-    right = meetings.select(*[F.col(c).alias(r) for c, r in zip(key, other)]).join(
-        data.select(F.col("dim").alias("r_dim"), F.col("cell").alias("r_d_cell"), F.col("part").alias("r_d_part"), "vec_id", "v"),
-        ["r_dim", "r_d_cell", "r_d_part"])
-
-    def search(group: tuple, q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(columns=["dim", "cell", "part", "query_id", "vec_id", "score"])
+    """The k best of each query (q_block, vec_id, v, floor) within each meeting of a query block and a data block."""
+    key, other = ["q_block", "d_block"], ["r_q", "r_d"]
+    left = meetings.select(*key).join(queries.select("q_block", "vec_id", "v", "floor"), "q_block")
+    right = meetings.select(F.col("q_block").alias("r_q"), F.col("d_block").alias("r_d")).join(
+        data.select(F.col("block").alias("r_d"), "vec_id", "v"), "r_d")
+
+    def search(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if q.empty or d.empty:
-            return out
+            return pd.DataFrame(columns=["query_id", "vec_id", "score"])
         q, d = q.sort_values("vec_id"), d.sort_values("vec_id")
         best = Best(len(q), k, q.floor.to_numpy(dtype=float))
         dual_search(np.stack(q.v), q.vec_id.to_numpy(), np.stack(d.v), d.vec_id.to_numpy(), best)
-        at, rank = np.nonzero(best.id != np.iinfo(np.int64).max)
-        return pd.DataFrame({"dim": group[0], "cell": group[1], "part": group[2], "query_id": q.vec_id.to_numpy()[at],
-                             "vec_id": best.id[at, rank], "score": best.score[at, rank]})
+        at, rank = np.nonzero(best.taken)
+        return pd.DataFrame({"query_id": q.vec_id.to_numpy()[at], "vec_id": best.id[at, rank], "score": best.score[at, rank]})
 
     return left.groupBy(*key).cogroup(right.groupBy(*other)).applyInPandas(search, RESULT)
 
 
 def _best_of(found: DataFrame, k: int) -> DataFrame:
     """The k best rows of each query, gathered by partial aggregation: at most k rows of each meeting."""
-    order = F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("less"), "vec_id")))
+    order = F.array_sort(F.collect_set(F.struct(F.bitwise_not("score").alias("less"), "vec_id")))
     return found.groupBy("query_id").agg(F.slice(order, 1, k).alias("best"))
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, cells: int = CELLS, seed: int = 3) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k largest integer inner products over all other vectors.
 
-    vectors (vec_id, embedding) become whole numbers. The upper levels of both trees are cells around pivots (a bounded
-    sample of cells vectors for each dimension), cut into blocks of bounded size; the lower levels are built in
-    the tasks. Every query block first meets the data blocks of its own cell, which gives each query a floor for its kth score;
-    then it meets those blocks whose covering radius lets them reach the floor. Pairs of blocks come from an
-    equi-join on the dimension, over block summaries, not rows.
+    vectors (vec_id, embedding) become whole numbers. Queries and data have a tree each. Its upper levels are cells around
+    pivots (in_cells), down to blocks of bounded size; the lower levels are cover trees built in the tasks.
+    Every query first meets the data block of its own cell, which gives it a floor for its kth score. Then each query block goes
+    down the data tree and meets the blocks whose covering radii let them reach the least floor of its queries.
 
-    Ties go to smaller ids. Vectors of another dimension than a query's are no candidates. Rows that repeat an id with an
-    equal vector count once. Queries without candidates give no rows.
+    Scores are exact over the whole range of a long; those beyond it end at its ends. Ties go to smaller ids. Vectors of another
+    dimension than a query's are no candidates. Rows that repeat an id with an equal vector count once. Queries
+    without candidates give no rows.
     """
     rows = staged(whole_vectors(vectors).withColumn("is_query", F.coalesce(is_query, F.lit(False))).dropDuplicates(["vec_id", "v"]))
-    drawn: dict[int, np.ndarray] = {}
-    for dim in [r.dim for r in rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(16).collect()]:
-        first = rows.filter(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(cells).collect()
-        drawn[dim] = np.array([r.v for r in first], dtype=float)
-    placed = staged(_in_cells(rows, drawn))
-    data = _blocked(placed, DATA_ROWS)
-    queries = _blocked(placed.filter("is_query"), QUERY_ROWS)
-    d, q = _summaries(data), _summaries(queries)
-    floorless = queries.withColumn("floor", F.lit(float("-inf")))
-    q_key = q.select("dim", F.col("cell").alias("q_cell"), F.col("part").alias("q_part"), F.col("centre").alias("qc"),
-                     F.col("radius").alias("qr"))
-    d_key = d.select("dim", F.col("cell").alias("d_cell"), F.col("part").alias("d_part"), F.col("centre").alias("dc"),
-                     F.col("radius").alias("dr"))
-    home = q_key.join(d_key, "dim").filter("q_cell = d_cell and d_part = 0")
-    first = staged(_searched(home, floorless, data, k))
+    data, depth = in_cells(rows, DATA_ROWS, cells, seed)
+    queries, _ = in_cells(rows.filter("is_query"), QUERY_ROWS, cells, seed)
+    tree = tree_balls(block_balls(data), depth)
+    home = data.filter("is_query").select(
+        F.concat("path", F.lit("#"), F.pmod(F.xxhash64("vec_id"), F.lit(-(-DATA_ROWS // QUERY_ROWS))).cast("string")).alias("q_block"),
+        F.concat("path", F.lit("#0")).alias("d_block"), "vec_id", "v", F.lit(float("-inf")).alias("floor"))
+    first = staged(_searched(home.select("q_block", "d_block").distinct(), home, data, k))
     kth = _best_of(first, k).select(
         F.col("query_id").alias("vec_id"),
-        F.when(F.size("best") == k, -F.col("best")[k - 1]["less"].cast("double")).otherwise(float("-inf")).alias("floor"))
-    known = staged(queries.join(kth, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))))
-    lowest = known.groupBy("dim", F.col("cell").alias("q_cell"), F.col("part").alias("q_part")).agg(F.min("floor").alias("least"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
-    most = dot("qc", "dc") + F.sqrt(dot("qc", "qc")) * F.col("dr") + F.sqrt(dot("dc", "dc")) * F.col("qr") + F.col("qr") * F.col("dr")
-    others = (
-        q_key.join(d_key, "dim").filter("not (q_cell = d_cell and d_part = 0)")
-        .join(lowest, ["dim", "q_cell", "q_part"]).filter(most + F.abs(most) * 1e-9 + 1e-6 >= F.col("least")))
-    rest = _searched(staged(others.select("dim", "q_cell", "q_part", "d_cell", "d_part")), known, data, k)
+        F.when(F.size("best") == k, F.bitwise_not(F.col("best")[k - 1]["less"]).cast("double")).otherwise(float("-inf")).alias("floor"))
+    known = staged(queries.select(F.col("block").alias("q_block"), "path", "vec_id", "v").join(kth, "vec_id", "left").withColumn(
+        "floor", F.coalesce("floor", F.lit(float("-inf")))))
+    lowest = known.groupBy("q_block").agg(F.min("floor").alias("least"))
+    balls = block_balls(queries).select(
+        F.col("node").alias("q_block"), F.substring_index("parent", ".", 1).alias("root"), F.col("centre").alias("qc"), F.col("radius").alias("qr"))
+    rest = _searched(meetings_within(staged(balls.join(lowest, "q_block")), tree, depth), known, data, k)
     best = _best_of(first.union(rest), k)
     return best.select("query_id", F.posexplode("best").alias("at", "b")).select(
-        "query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.less")).alias("score"))
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.bitwise_not("b.less").alias("score"))
