@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -35,10 +37,9 @@ class TokenBytes:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        whole = Tokenizer.from_file(path)
-        self.whole = lambda text: whole.encode(text, add_special_tokens=False).ids
-        added = [t.content for t in whole.get_added_tokens_decoder().values()]
+        self.path = path
+        with open(path, encoding="utf-8") as file:
+            added = [t["content"] for t in json.load(file).get("added_tokens") or ()]
         self.added = re.compile("|".join(map(re.escape, added)) if added else r"(?!)")
         ranks = re.sub(r"\.json$", ".tiktoken", path)
         try:
@@ -60,6 +61,14 @@ class TokenBytes:
                 return found
         self.parts = Parts()
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def encode(self, text: str) -> bytes:
         return np.array(self.ids(text), dtype="<u4").tobytes()
 
