@@ -8,7 +8,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,8 +39,7 @@ class TokenBytes:
     def __init__(self, path: str):
         self.path = path
         with open(path, encoding="utf-8") as file:
-            added = [t["content"] for t in json.load(file).get("added_tokens") or ()]
-        self.added = re.compile("|".join(map(re.escape, added)) if added else r"(?!)")
+            self.added = [t["content"] for t in json.load(file).get("added_tokens") or ()]
         ranks = re.sub(r"\.json$", ".tiktoken", path)
         try:
             import public_tokenizers
@@ -73,7 +72,7 @@ class TokenBytes:
         return np.array(self.ids(text), dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if self.added.search(text):
+        if any(token in text for token in self.added):
             return np.array(self.whole(text), dtype="<u4").tobytes()
         if ODD_SPACE.search(text):
             return self.encode(text)
@@ -82,6 +81,12 @@ class TokenBytes:
         return self.encode(first) + b"".join([parts[p] for p in rest])
 
 
+@lru_cache(maxsize=1)
+def token_bytes(path: str) -> TokenBytes:
+    """One per Python worker, which Spark reuses, so its tables and parts serve all tasks that the worker runs."""
+    return TokenBytes(path)
+
+
 def token_pieces(documents: DataFrame, tokenizer: str, limit: int = 1024, end_id: int = 2) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each row's ids and end_id, cut into pieces of limit ids.
 
@@ -90,7 +95,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, limit: int = 1024, end_id
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = TokenBytes(tokenizer)
+        encode = token_bytes(tokenizer)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.doc_id, batch.text):
