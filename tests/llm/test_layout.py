@@ -101,6 +101,15 @@ def test_ids_are_the_tokenizers(coder, text):
     assert fast(text) == plain(text)
 
 
+def test_ids_of_odd_and_repeated_parts(coder):
+    fast, plain = coder
+    words = ["word", "a\nb", "a\n\nb", "", "\n", "\t", "x\r\ny", "a\u00a0", "\u2003b", "it's", "\x1c", "na\u00efve", "12", "long" * 40]
+    r = random.Random(5)
+    for _ in range(400):
+        text = " ".join(r.choice(words[: r.choice([2, 3, 14])]) for _ in range(r.randint(0, 30)))
+        assert fast(text) == plain(text)
+
+
 @pytest.mark.parametrize("text", ["<|endoftext|>", "a<|endoftext|> b", "a  <|endoftext|><|endoftext|>\nb ", "<|endoftext", " <|endoftext|>x y"])
 def test_the_string_of_an_added_token_is_that_token(coder, text):
     fast, plain = coder
