@@ -2,13 +2,14 @@
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.llm.line_quality import forward_backward, line_features, quality
+from tidelog.llm.line_quality import OWN, WIDTH, LineQualityModel, fit, forward_backward, line_columns, line_features, quality
 from tidelog.llm.textbatch import chunks
 from tidelog.llm.toxicity import drop_toxic, nn_pu, toxicity
 
@@ -75,11 +76,12 @@ def test_the_unlabelled_risk_recovers_the_prior():
     assert abs(high - 0.18 / 0.22) < 0.12 and low < 0.1
 
 
-def test_marginals_are_those_of_all_paths():
+@pytest.mark.parametrize("span", [1, 2, 3, 512])
+def test_marginals_are_those_of_all_paths(span):
     r = np.random.default_rng(2)
     counts, moves = np.array([1, 4, 6]), r.normal(size=(2, 2))
     unary = r.normal(size=counts.sum())
-    one, move, whole = forward_backward(unary, moves, counts)
+    one, move, whole = forward_backward(unary, moves, counts, span)
     at = 0
     for chain, n in enumerate(counts):
         paths = list(itertools.product((0, 1), repeat=int(n)))
@@ -91,6 +93,43 @@ def test_marginals_are_those_of_all_paths():
         at += n
 
 
+def test_columns_add_up_to_the_features():
+    r = np.random.default_rng(3)
+    model = LineQualityModel(r.normal(size=WIDTH), r.random(WIDTH) + 0.5, r.normal(size=WIDTH), r.normal(size=(2, 2)), 1.0, 0.0)
+    for _, raw, at in chunks(pa.array(["One two.\n\nTWO two!!\nx", None, "", "\n", "last | line"])):
+        x, _, counts = line_features(raw, at)
+        want = forward_backward(((x - model.centre) / model.scale) @ model.weights, model.moves, counts)[0]
+        columns, _, counts = line_columns(raw, at)
+        assert x.shape[1] == WIDTH == 3 * OWN + 1 and np.allclose(model.lines(columns, counts), want)
+
+
+def test_documents_of_two_kinds_of_line():
+    r = np.random.default_rng(5)
+    y = np.arange(400) % 2
+    counts = np.full(400, 6)
+    kind = np.repeat(y, 6)
+    kind[np.repeat(r.random(400) < 0.4, 6) & (np.arange(2400) % 6 >= 4)] ^= 1  # the last lines of some are of the other kind
+    x = np.column_stack([kind + r.normal(size=2400) * 0.1, np.ones(2400)])
+    lengths = np.full(2400, 20)
+    model = fit(x, lengths, counts, y)
+    good = forward_backward(((x - model.centre) / model.scale) @ model.weights, model.moves, counts)[0]
+    assert ((model.documents(good, lengths, counts) > 0.5) == y).all()
+    assert ((good > 0.5) == kind).mean() > 0.98 and (kind == np.repeat(y, 6)).mean() < 0.9
+
+
+def test_two_million_line_breaks_fit_an_executor():
+    model = LineQualityModel(np.zeros(WIDTH), np.ones(WIDTH), np.full(WIDTH, 0.1), np.zeros((2, 2)), 1.0, 0.0)
+    tracemalloc.start()
+    for _, raw, at in chunks(pa.array(["ab c.\n" * 1_000_000 + "\n" * 1_000_000])):
+        columns, length, counts = line_columns(raw, at)
+        good = model.lines(columns, counts)
+        score = model.documents(good, length, counts)
+        assert counts.tolist() == [2_000_001] and 0 <= score[0] <= 1 and np.isfinite(good).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000_000
+
+
 def test_lines_are_those_of_split():
     texts = ["a b\n\nc", "", None, "\n", "Ünder\nx", "end\n"]
     sizes, lengths = [], []

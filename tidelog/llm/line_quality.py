@@ -28,13 +28,11 @@ _CLASSES = {
 }
 OWN = len(_CLASSES) + 11
 WIDTH = 3 * OWN + 1
+SPAN = 512
 
 
-def line_features(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, lengths in bytes, lines of each row) of the lines of a chunk of rows, in order.
-
-    A line's features are its own, those of the line before and those of the line after (zeros at a row's ends).
-    """
+def line_columns(raw: np.ndarray, at: np.ndarray) -> tuple[Iterator[np.ndarray], np.ndarray, np.ndarray]:
+    """(own features, column by column, lengths in bytes, lines of each row) of the lines of a chunk of rows, in order."""
     size, rows = len(raw), len(at) - 1
     ends = np.flatnonzero(raw == 10)
     breaks = np.bincount(np.searchsorted(at, ends, "right") - 1, minlength=rows) if len(ends) else np.zeros(rows, int)
@@ -59,13 +57,6 @@ def line_features(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
         np.cumsum(flags, out=total[1:])
         return (total[stop] - total[begin]).astype(float)
 
-    n = np.maximum(length, 1)
-    letters = count(_LETTER[raw]) if size else np.zeros(len(row))
-    table = {k: count(v[raw]) for k, v in _CLASSES.items()} if size else {k: np.zeros(len(row)) for k in _CLASSES}
-    twice = np.zeros(size, bool)
-    if size > 1:
-        odd = ~_LETTER[raw] & ~_CLASSES["blank"][raw] & (raw != 10)
-        twice[1:] = odd[1:] & (raw[1:] == raw[:-1])
     # Words: how many, how many differ within the line, and how many were in the row before.
     h, _ = words(raw, at)
     if size:
@@ -90,16 +81,53 @@ def line_features(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     np.cumsum(h, out=sums[1:])
     edge = np.searchsorted(line_of, np.arange(len(row) + 1))
     again = ~_first_of(sums[edge[1:]] - sums[edge[:-1]], row)
-    tail = raw[np.maximum(stop - 1, 0)] if size else np.zeros(len(row), np.uint8)
-    own = np.column_stack([
-        np.log1p(length) / 8, letters / n, *[table[k] / n for k in _CLASSES], table["upper"] / np.maximum(letters, 1),
-        (count(twice) if size else np.zeros(len(row))) / n, np.log1p(total) / 6, np.minimum(length / w, 30) / 10,
-        in_line / w, in_row / w, again & (total > 0), (length > 0) & np.isin(tail, [46, 33, 63]), length == 0])
+    n = np.maximum(length, 1)
+
+    def columns() -> Iterator[np.ndarray]:
+        def share(flags: np.ndarray) -> np.ndarray:
+            return count(flags) / n if size else np.zeros(len(row))
+
+        letters = share(_LETTER[raw])
+        upper = share(_CLASSES["upper"][raw])
+        yield np.log1p(length) / 8
+        yield letters
+        for kind in _CLASSES.values():
+            yield share(kind[raw])
+        yield upper * n / np.maximum(letters * n, 1)
+        twice = np.zeros(size, bool)
+        if size > 1:
+            odd = ~_LETTER[raw] & ~_CLASSES["blank"][raw] & (raw != 10)
+            twice[1:] = odd[1:] & (raw[1:] == raw[:-1])
+        yield share(twice)
+        yield np.log1p(total) / 6
+        yield np.minimum(length / w, 30) / 10
+        yield in_line / w
+        yield in_row / w
+        yield again & (total > 0)
+        yield (length > 0) & np.isin(raw[np.maximum(stop - 1, 0)] if size else np.zeros(len(row), np.uint8), [46, 33, 63])
+        yield length == 0
+
+    return columns(), length, per_row
+
+
+def neighbours(per_row: np.ndarray) -> np.ndarray:
+    """True for each line but the last of a chunk if the next one belongs to the same row."""
+    row = np.repeat(np.arange(len(per_row)), per_row)
+    return row[1:] == row[:-1]
+
+
+def line_features(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, lengths in bytes, lines of each row) of the lines of a chunk of rows, in order.
+
+    A line's features are its own, those of the line before and those of the line after (zeros at a row's ends).
+    """
+    columns, length, per_row = line_columns(raw, at)
+    own = np.column_stack(list(columns)).astype(float)
     before, after = np.zeros_like(own), np.zeros_like(own)
-    follows = row[1:] == row[:-1]
+    follows = neighbours(per_row)
     before[1:][follows] = own[:-1][follows]
     after[:-1][follows] = own[1:][follows]
-    return np.column_stack([own, before, after, np.ones(len(row))]), length, per_row
+    return np.column_stack([own, before, after, np.ones(len(own))]), length, per_row
 
 
 def _first_of(value: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -112,34 +140,68 @@ def _first_of(value: np.ndarray, group: np.ndarray) -> np.ndarray:
     return out
 
 
-def forward_backward(unary: np.ndarray, moves: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of chains of two states: (probability of state 1 by position, of each move by chain, log partition by chain).
-
-    unary is the log weight of state 1 against state 0 by position, moves the 2 x 2 log weights, counts the chain
-    lengths (at least 1), in whose order the positions lie.
-    """
-    m, n = len(counts), len(unary)
-    begin = np.cumsum(counts) - counts
-    order = np.argsort(-counts, kind="stable")
-    start, size = begin[order], counts[order]
-    alive = np.searchsorted(-size, -np.arange(size[0] if m else 0), "left")  # chains longer than t
-    alpha, beta = np.zeros((n, 2)), np.zeros((n, 2))
+def _forward(unary: np.ndarray, moves: np.ndarray, start: np.ndarray, alive: np.ndarray, alpha: np.ndarray,
+             into: np.ndarray) -> np.ndarray:
+    """alpha, filled chain by chain from the log weights that each chain's first position gets from what lies before it."""
     for t, k in enumerate(alive):
         at = start[:k] + t
         if t:
             back = alpha[at - 1]
             alpha[at, 0] = np.logaddexp(back[:, 0] + moves[0, 0], back[:, 1] + moves[1, 0])
             alpha[at, 1] = np.logaddexp(back[:, 0] + moves[0, 1], back[:, 1] + moves[1, 1])
+        else:
+            alpha[at] = into
         alpha[at, 1] += unary[at]
+    return alpha
+
+
+def forward_backward(unary: np.ndarray, moves: np.ndarray, counts: np.ndarray,
+                     span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of chains of two states: (probability of state 1 by position, of each move by chain, log partition by chain).
+
+    unary is the log weight of state 1 against state 0 by position, moves the 2 x 2 log weights, counts the chain
+    lengths (at least 1), in whose order the positions lie. Chains are walked in pieces of at most span positions: all
+    pieces step together to find how each carries a message from its first state to its end, the messages are
+    carried from piece to piece, and all pieces step together again. So a chain of n positions costs about
+    2 * span + 2 * n / span steps, not n.
+    """
+    m, n = len(counts), len(unary)
+    chain = np.repeat(np.arange(m), counts)
+    cuts = -(-counts // span)
+    of = np.repeat(np.arange(m), cuts)  # the chain of each piece
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    begin = (np.cumsum(counts) - counts)[of] + nth * span
+    held = np.minimum(counts[of] - nth * span, span)
+    order = np.argsort(-held, kind="stable")
+    start, size = begin[order], held[order]
+    alive = np.searchsorted(-size, -np.arange(size[0] if m else 0), "left")  # pieces longer than t
+    alpha, beta = np.zeros((n, 2)), np.zeros((n, 2))
+    into, out = np.zeros((len(of), 2)), np.zeros((len(of), 2))
+    if len(of) > m:
+        carried = np.empty((len(of), 2, 2))  # log weight from each state at a piece's first position to each at its last
+        for a in (0, 1):
+            from_one = np.tile([0.0, -np.inf] if a == 0 else [-np.inf, 0.0], (len(of), 1))
+            _forward(unary, moves, start, alive, alpha, from_one)
+            carried[:, a] = alpha[begin + held - 1]
+        first = np.cumsum(cuts) - cuts
+        for k in range(1, cuts.max()):
+            at = first[cuts > k] + k
+            end = np.logaddexp.reduce(into[at - 1][:, :, None] + carried[at - 1], axis=1)
+            into[at] = np.logaddexp.reduce(end[:, :, None] + moves, axis=1)
+        for k in range(cuts.max() - 2, -1, -1):
+            at = first[cuts > k + 1] + k
+            ahead = np.logaddexp.reduce(carried[at + 1] + out[at + 1][:, None, :], axis=2)
+            out[at] = np.logaddexp.reduce(moves + ahead[:, None, :], axis=2)
+    beta[begin + held - 1] = out
+    _forward(unary, moves, start, alive, alpha, into[order])
     for t in range(len(alive) - 2, -1, -1):
         at = start[: alive[t + 1]] + t
         ahead = beta[at + 1].copy()
         ahead[:, 1] += unary[at + 1]
         beta[at, 0] = np.logaddexp(moves[0, 0] + ahead[:, 0], moves[0, 1] + ahead[:, 1])
         beta[at, 1] = np.logaddexp(moves[1, 0] + ahead[:, 0], moves[1, 1] + ahead[:, 1])
-    end = begin + counts - 1
+    end = np.cumsum(counts) - 1
     whole = np.logaddexp(alpha[end, 0], alpha[end, 1])
-    chain = np.repeat(np.arange(m), counts)
     one = 1 / (1 + np.exp(np.clip(alpha[:, 0] + beta[:, 0] - alpha[:, 1] - beta[:, 1], -500, 500)))
     move = np.zeros((m, 2, 2))
     inner = np.flatnonzero(chain[1:] == chain[:-1]) if n else np.empty(0, np.int64)
@@ -159,12 +221,19 @@ class LineQualityModel:
     slope: float
     shift: float
 
-    def lines(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """The probability that each line is good."""
-        return forward_backward(((features - self.centre) / self.scale) @ self.weights, self.moves, counts)[0]
+    def lines(self, columns: Iterator[np.ndarray], counts: np.ndarray) -> np.ndarray:
+        """The probability that each line is good. Columns are added up as they come, so no table of features is held."""
+        w = self.weights / self.scale
+        unary = np.full(int(counts.sum()), w[-1] - self.centre @ w)
+        follows = neighbours(counts)
+        for k, own in enumerate(columns):
+            unary += own * w[k]
+            unary[1:] += follows * own[:-1] * w[OWN + k]
+            unary[:-1] += follows * own[1:] * w[2 * OWN + k]
+        return forward_backward(unary, self.moves, counts)[0]
 
-    def documents(self, features: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * _evidence(self.lines(features, counts), lengths, counts) + self.shift)))
+    def documents(self, good: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * _evidence(good, lengths, counts) + self.shift)))
 
 
 def _evidence(good: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -176,10 +245,16 @@ def _evidence(good: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.n
     return np.log(mean / (1 - mean))
 
 
-def fit(features: np.ndarray, lengths: np.ndarray, counts: np.ndarray, y: np.ndarray, steps: int = 250,
-        rate: float = 0.05, ridge: float = 1e-3) -> LineQualityModel:
-    """Maximum likelihood with every line labelled as its document, both classes weighing the same; then the two numbers
-    that turn a document's evidence into a probability, from the same rows unweighted."""
+def fit(features: np.ndarray, lengths: np.ndarray, counts: np.ndarray, y: np.ndarray, steps: int = 500,
+        rate: float = 0.05, ridge: float = 1e-3, strength: float = 0.25) -> LineQualityModel:
+    """Maximum likelihood with hidden line labels, both classes weighing the same; then the two numbers that turn a
+    document's evidence into a probability, from the same rows unweighted.
+
+    For the first fifth of the steps every line is labelled as its document. From then on a document's label is only
+    evidence about its lines: log odds of strength a line on average, dealt out by length. What lines and moves are
+    expected to be, given that evidence, is renewed every ten steps (generalised EM). For the last two fifths moves are learnt
+    too; earlier they would be those within documents of one label, and no line could turn against its neighbours.
+    """
     centre, scale = features.mean(axis=0), features.std(axis=0)
     centre[-1], scale[scale < 1e-9] = 0.0, 1.0
     x = (features - centre) / scale
@@ -187,13 +262,18 @@ def fit(features: np.ndarray, lengths: np.ndarray, counts: np.ndarray, y: np.nda
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     # A long document counts as one: its likelihood is divided by its lines.
     per = share / counts
-    seen = np.zeros((len(counts), 2, 2))
-    seen[np.arange(len(counts)), y, y] = counts - 1
     w, moves = np.zeros(x.shape[1]), np.zeros((2, 2))
     mean, square = np.zeros(x.shape[1] + 4), np.zeros(x.shape[1] + 4)
+    weight = lengths + 1.0
+    told = strength * (2 * y - 1)[row] * weight * (counts / np.bincount(row, weights=weight))[row]
+    wanted = y[row].astype(float)
     for step in range(1, steps + 1):
+        if 5 * step > steps and step % 10 == 1:
+            wanted, seen, _ = forward_backward(x @ w + told, moves, counts)
         good, move, _ = forward_backward(x @ w, moves, counts)
-        g = np.concatenate([x.T @ ((good - y[row]) * per[row]) + ridge * w,
+        if 5 * step <= 3 * steps:
+            seen = move
+        g = np.concatenate([x.T @ ((good - wanted) * per[row]) + ridge * w,
                             ((move - seen) * per[:, None, None]).sum(axis=0).ravel() + ridge * moves.ravel()])
         mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
         change = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
@@ -244,20 +324,21 @@ def train_quality(documents: DataFrame, labels: DataFrame, *, max_documents: int
 def quality(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted, n_lines and n_good_lines of each row (doc_id, text).
 
-    Null and empty texts count as one empty line. Null and repeated ids are scored row by row; an empty table gives
-    no rows.
+    Null and empty texts count as one empty line. Null and repeated ids are scored row by row, equal texts alike; an empty
+    table gives no rows; more columns play no part. Texts of any number of lines are scored whole: a line costs some
+    hundreds of bytes while its text is scored, and long chains are walked in pieces.
     """
     model = train_quality(documents, labels)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, raw, at in chunks(batch.column(1)):
-                x, length, counts = line_features(raw, at)
+                columns, length, counts = line_columns(raw, at)
                 if isinstance(model, float):
                     score, good = np.full(len(counts), model), np.full(len(length), model)
                 else:
-                    good = model.lines(x, counts)
-                    score = 1 / (1 + np.exp(-(model.slope * _evidence(good, length, counts) + model.shift)))
+                    good = model.lines(columns, counts)
+                    score = model.documents(good, length, counts)
                 row = np.repeat(np.arange(len(counts)), counts)
                 n_good = np.bincount(row, weights=good >= 0.5, minlength=len(counts)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
