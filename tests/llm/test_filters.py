@@ -102,19 +102,36 @@ def test_no_occurrence_within_the_budget_is_missed(item, text, edits, r):
     assert "".join(p for _, p in pieces(item, 4)) == item
 
 
+def test_short_items_are_found_exactly_at_word_bounds():
+    items = [(1, "paris"), (2, "what is 2+2?"), (3, "?!"), (4, "a" * 40), (5, "paris")]
+    find = lambda text: sorted(Matcher(items, 0.05, 40).find(text))
+    assert find("paris") == [(1, 0, 5), (5, 0, 5)]
+    assert find("parisian, comparis, paris_1") == [] and find("comparis paris, paris") == [(1, 0, 14), (5, 0, 14)]
+    assert find("q: what is 2+2?4") == [(2, 0, 15)] and find("what is 2+3?") == [] and find("what?!") == [(3, 0, 6)]
+    assert find("a" * 39) == [(4, 1, 39)]
+
+
+def test_a_very_long_item():
+    r = random.Random(8)
+    item = " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(700))
+    noisy = item[:2000] + "x" + item[2001:]
+    assert Matcher([(1, item)], 0.05, 40).find("start " + noisy + " end") == [(1, int(noisy != item), 6 + len(item))]
+
+
 def test_contaminated_documents(spark, docs):
     item = "The quick brown fox jumps over the lazy dog while nine wizards watch quietly from the hill."
     noisy = item.replace("quick", "quikc").replace("nine", "9ine")
-    rows = [(1, "Intro. " + item.upper() + " end"), (2, "x " + noisy.replace(" ", "\n ") + " y"), (3, "The quick brown fox"), (4, None),
+    short = "Too short?"
+    rows = [(7, f"is it\n{short.lower()} no"), (8, "too shorts? too  short!"), (1, "Intro. " + item.upper() + " end"), (2, "x " + noisy.replace(" ", "\n ") + " y"), (3, "The quick brown fox"), (4, None),
             (5, ""), (None, item), (1, "clean row of the same id"), (6, "pad " * 50_000 + item), (6, "pad " * 50_000 + item)]
-    benchmark = spark.createDataFrame([(9, item), (10, "too short"), (11, None), (None, item), (12, "")], "item_id long, text string")
+    benchmark = spark.createDataFrame([(9, item), (10, short), (11, None), (None, item), (12, "")], "item_id long, text string")
     table = docs(rows).withColumn("item_id", F.lit(1)).withColumn("hit", F.lit(1))
     got = sorted(((x.doc_id, x.item_id, x.edits) for x in contaminated(table, benchmark).collect()), key=str)
-    edits = {i: plain_distance(item.lower(), " ".join(t.lower().split()))[0] for i, t in rows[:2]}
+    edits = {i: plain_distance(item.lower(), " ".join(t.lower().split()))[0] for i, t in rows[2:4]}
     assert edits[1] == 0 and 0 < edits[2] <= 4
-    assert got == sorted([(i, k, edits.get(i, 0)) for i in (1, 2, None, 6, 6) for k in (9, None)], key=str)
+    assert got == sorted([(i, k, edits.get(i, 0)) for i in (1, 2, None, 6, 6) for k in (9, None)] + [(7, 10, 0)], key=str)
     kept = drop_contaminated(table, benchmark)
-    assert sorted((x.doc_id for x in kept.collect())) == [1, 3, 4, 5] and kept.columns == table.columns
+    assert sorted((x.doc_id for x in kept.collect())) == [1, 3, 4, 5, 8] and kept.columns == table.columns
     assert drop_contaminated(table, benchmark.limit(0)).count() == len(rows)
     assert contaminated(docs([]), benchmark).count() == 0
 

@@ -14,6 +14,7 @@ from tidelog.llm.common import staged
 
 GROUP_CHARS = 4_000_000
 SPACE = re.compile(r"\s+")
+WORD = re.compile(r"\w\w")
 
 
 def plain(text: str | None) -> str:
@@ -56,14 +57,23 @@ def best_end(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def bounded(text: str, begin: int, end: int) -> bool:
+    """True if text[begin:end] neither begins nor ends within a word."""
+    return not (begin and WORD.match(text[begin - 1: begin + 1]) or WORD.match(text[end - 1: end + 1]))
+
+
 class Matcher:
-    """The pieces of some items in one automaton."""
+    """The pieces of some items in one automaton.
+
+    Items of fewer than min_chars characters have no error budget, and they are found at word bounds only: what stands before
+    and after the place is no letter, digit or underscore, or the item itself has none at that end.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.items = [(i, t, budget_of(t, error_rate)) for i, t in items]
+    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int = 0):
+        self.items = [(i, t, budget_of(t, error_rate) if len(t) >= min_chars else -1) for i, t in items]
         self.automaton = ahocorasick.Automaton()
         for k, (_, item, errors) in enumerate(self.items):
-            for start, piece in pieces(item, errors):
+            for start, piece in pieces(item, max(errors, 0)):
                 known = self.automaton.get(piece, None)
                 if known is None:
                     self.automaton.add_word(piece, [(k, start, len(piece))])
@@ -77,17 +87,22 @@ class Matcher:
         if not self.items or not text:
             return []
         spans: dict[int, list[tuple[int, int]]] = {}
+        short: dict[int, int] = {}
         for last, hits in self.automaton.iter(text):
             for k, start, length in hits:
                 _, item, errors = self.items[k]
                 begin = last + 1 - length - start
+                if errors < 0:
+                    if k not in short and bounded(text, begin, last + 1):
+                        short[k] = last + 1
+                    continue
                 low, high = max(0, begin - errors), begin + len(item) + errors
                 own = spans.setdefault(k, [])
                 if own and low <= own[-1][1] and own[-1][0] <= low:
                     own[-1] = own[-1][0], max(high, own[-1][1])
                 else:
                     own.append((low, high))
-        found = []
+        found = [(self.items[k][0], 0, end) for k, end in short.items()]
         for k, own in spans.items():
             key, item, errors = self.items[k]
             best = None
@@ -106,10 +121,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, error_rate: float =
     """(doc_id, item_id, edits, end) of each row (doc_id, text) and item (item_id, text) found in it.
 
     An item is found where some substring of the document is within int(error_rate * item length) edits of it, both in
-    plain form. Whole texts are searched. Items of fewer than min_chars plain characters would match by chance
-    and are not searched; null items neither. The items go out in groups of at most GROUP_CHARS characters (a longer one
+    plain form. Whole texts are searched. Items of fewer than min_chars plain characters would match by chance within their
+    budget; they have to be there exactly, at word bounds. Null and blank items are not searched. The items go out in groups of at most GROUP_CHARS characters (a longer one
     alone), each a pass over the documents, so no task holds more, however large the benchmark is. Null texts match
-    nothing; rows with null or repeated ids are searched like others; items of equal text are all reported.
+    nothing; rows with null or repeated ids are searched like others; items of equal text are all reported. More
+    columns on either side play no part, whatever their names.
     """
     spark = documents.sparkSession
     sizes = benchmark.select(F.xxhash64("item_id", "text").alias("h"), F.length("text").alias("n"))
@@ -122,13 +138,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, error_rate: float =
         part = benchmark.select("item_id", "text").filter(
             F.col("text").isNotNull() & (F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g))
         items = sorted({(r.item_id, plain(r.text)) for r in part.toLocalIterator()}, key=str)
-        items = [(i, t) for i, t in items if len(t) >= min_chars]
+        items = [(i, t) for i, t in items if t]
         if not items:
             continue
         sent = spark.sparkContext.broadcast(items)
 
         def search(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            matcher = Matcher(sent.value, error_rate)
+            matcher = Matcher(sent.value, error_rate, min_chars)
             for batch in batches:
                 rows = [(i, *f) for i, t in zip(batch.doc_id, batch.text) for f in matcher.find(plain(t))]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "end"]).astype(
