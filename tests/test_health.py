@@ -59,6 +59,19 @@ def test_the_last_of_a_repeated_member_counts(spark):
         (1, 8, 0, 0), (2, 0, 0, 3), (7, 6, 0, 0), (9, 0, 7, 0)]
 
 
+def test_what_stands_after_an_object_is_left_unread(spark):
+    told = ticks(
+        spark, ("a", 1, '{"tx":4} end'), ("a", 2, '{"tx":4}{"tx":5}'), ("a", 3, '{"tx":1,"tx":2} end'), ("a", 4, '{"tx":3,"x":NaN}'),
+        ("a", 5, '{"tx":6,"x":{"y":1,"y":2}}'), ("a", 6, '{"tx":4,"TX":5}'), ("a", 7, '{"tx":{"y":1,"y":2},"rx_bytes":5}'), ("a", 8, '{"tx":7'))
+    assert pairs(parse_ticks(told), "seq", "tx", "rx_bytes") == [(1, 4, 0), (2, 4, 0), (5, 6, 0), (6, 4, 0), (7, 0, 5)]
+
+
+def test_a_tick_is_made_and_its_counters_are_read_once(spark):
+    made = F.format_string('{"tx":%d,"tx":%d}', "id", "id")
+    plan = parse_ticks(spark.range(9).select("id", made.alias("stats")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_string(") == 1 and plan.count("from_json(") == 1
+
+
 def test_runs_one_after_the_other_add_what_one_run_adds(spark, tmp_path):
     rng = random.Random(5)
     rows = [(rng.choice(["hot", "hot", "b", None]), i, f'{{"tx":{rng.randint(-9, 99)},"rx_bytes":{rng.randint(0, 99)}}}')

@@ -21,36 +21,30 @@ def _whole(found: Column) -> Column:
     return F.when(whole, F.try_variant_get(found, "$", "bigint")).otherwise(_zero())
 
 
-def _counter(tick: Column, name: str) -> Column:
-    return _whole(F.try_variant_get(tick, f"$.{name}", "variant"))
-
-
-def _counters(member) -> Column:
-    return F.struct(*[member(c).alias(c) for c in COUNTERS])
-
-
-def _last_of_each(text: Column) -> Column:
-    """The counters of an object that names a member twice, which no variant can hold; the last one counts."""
-    listed = F.concat(F.lit("["), text, F.lit("]"))
-    shape = f"array<struct<{', '.join(f'{c}: variant' for c in COUNTERS)}>>"
-    found = F.from_json(listed, shape, {"allowSingleQuotes": "false"})
-    one_object = text.rlike(r"^\s*\{") & (F.json_array_length(listed) == 1) & (F.size(found) == 1)
-    return F.when(one_object, _counters(lambda c: _whole(found[0][c])))
+def _once(value: Column) -> Column:
+    """A value as a row of its own: found once, however often it is used, and not again by a filter that is pushed down."""
+    return F.explode(F.array(value))
 
 
 def parse_ticks(ticks: DataFrame, column: str = "stats") -> DataFrame:
     """Replace the statistics JSON by its cumulative counters; ticks that are not JSON objects are ignored.
 
-    A member that a tick repeats counts with its last value. Only such ticks and broken ones are parsed a second time.
+    A member that a tick repeats counts with its last value. No variant can hold such an object and a text that is no variant
+    costs an exception, so only the counters are read as variants, and the whole text only where that finds no single object.
     """
     kept = [c for c in ticks.columns if c != column]
-    # Exploding keeps parsing out of filters, which would be pushed down and parse every tick twice.
-    tick = F.explode(F.array(F.try_parse_json(F.col(column)))).alias("_tick")
-    parsed = ticks.select(*kept, F.col(column).alias("_text"), tick)
-    plain = F.when(F.schema_of_variant("_tick").startswith("OBJECT"), _counters(lambda c: _counter(F.col("_tick"), c)))
-    counters = F.when(F.col("_tick").isNotNull(), plain).otherwise(_last_of_each(F.col("_text")))
-    found = parsed.select(*kept, F.explode(F.array_compact(F.array(counters))).alias("_found"))
-    return found.select(*kept, *[F.col(f"_found.{c}").alias(c) for c in COUNTERS])
+    text, shape = F.col("_text"), f"array<struct<{', '.join(f'{c}: variant' for c in COUNTERS)}>>"
+    told = ticks.select(*kept, _once(F.col(column)).alias("_text")).where(text.rlike(r"^\s*\{"))
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    listed = F.when(F.json_array_length(listed) == 1, F.from_json(listed, shape, {"allowSingleQuotes": "false"}))
+    listed = told.select(*kept, "_text", _once(listed).alias("_listed"))
+    # Text after the object's end, which no list can hold, is left unread.
+    whole = F.when(F.size("_listed") == 1, F.lit(None).cast("variant")).otherwise(F.try_parse_json(text))
+    read = listed.select(*kept, "_listed", _once(whole).alias("_tick"))
+    member = {c: F.coalesce(F.col("_listed")[0][c], F.try_variant_get("_tick", f"$.{c}", "variant")) for c in COUNTERS}
+    an_object = (F.size("_listed") == 1) | F.schema_of_variant("_tick").startswith("OBJECT")
+    found = read.where(an_object).select(*kept, _once(F.struct(*[member[c].alias(c) for c in COUNTERS])).alias("_found"))
+    return found.select(*kept, *[_whole(F.col(f"_found.{c}")).alias(c) for c in COUNTERS])
 
 
 def tick_deltas(
