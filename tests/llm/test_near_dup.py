@@ -7,7 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidelog.llm.near_dup import drop_near_duplicates, near_duplicates, signatures
+from tidelog.llm import near_dup
+from tidelog.llm.near_dup import drop_near_duplicates, near_duplicates, near_groups, signatures
 from tidelog.llm.textbatch import chunks, shingles
 
 
@@ -97,6 +98,17 @@ def test_rows_of_one_id_are_not_lost_to_unrelated_ones(docs):
     assert sorted(x.text for x in drop_near_duplicates(docs(hot + hot[:5])).collect()) == sorted(t for _, t in hot)
 
 
+def test_texts_are_numbered_without_a_shuffle(docs, monkeypatch):
+    plans = []
+
+    def groups(documents, percent):
+        plans.append(documents._jdf.queryExecution().executedPlan().toString())
+        return near_groups(documents, percent)
+    monkeypatch.setattr(near_dup, "near_groups", groups)
+    assert drop_near_duplicates(docs([(1, "a b"), (1, "a b"), (2, "a b"), (3, "c")])).count() == 2
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Join" not in plans[0]
+
+
 def test_empty_table(spark, docs):
     assert near_duplicates(docs([])).count() == 0 and drop_near_duplicates(docs([])).count() == 0
 
