@@ -12,8 +12,19 @@ from tidelog.llm.packing import pack, public_tokenizer
 from tidelog.llm.toxicity import drop_toxic
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Python gets at most BATCH_ROWS whole texts at once, for the rest of the session: a batch is held by the JVM and by its worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.7."""
+    small_batches(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -24,16 +35,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked at a similarity of 0.8: five-word shingles, full sets."""
+    small_batches(spark)
     return drop_near_duplicates(docs, 80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item, within an edit for each 20 of its characters."""
+    small_batches(spark)
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's tokens in sequences of at most 1024; see op6."""
+    small_batches(spark)
     return pack(docs, public_tokenizer())
 
 

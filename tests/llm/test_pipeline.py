@@ -1,5 +1,6 @@
 import os
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -30,3 +31,15 @@ def test_stages_over_the_smallest_table(spark):
             assert not hit & set(after) and len(before) - len(after) <= len(hit) + 2
     got = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == set(after)
+
+
+def test_python_gets_few_texts_at_once(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        corpus_pipeline.near_dedup(spark, docs([(1, "a")]), SF).collect()
+        held = spark.range(0, 2500, 1, 1).mapInArrow(lambda batches: (b.slice(0, 1).set_column(0, "id", pa.array([b.num_rows])) for b in batches), "id long")
+        assert sorted(r.id for r in held.collect()) == [500, 1000, 1000]
+    finally:
+        spark.conf.set(key, before)
