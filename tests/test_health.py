@@ -72,6 +72,39 @@ def test_a_tick_is_made_and_its_counters_are_read_once(spark):
     assert plan.count("format_string(") == 1 and plan.count("from_json(") == 1
 
 
+def plan_after_a_run(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counters_are_not_taken_for_less_than_their_ticks(spark):
+    told = spark.range(9000).select(F.col("id").alias("client"), F.format_string('{"tx":%d}', "id").alias("stats"))
+    counters = parse_ticks(told)
+    size = [df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for df in (told, counters)]
+    assert int(str(size[1])) >= int(str(size[0]))
+
+
+@pytest.mark.parametrize("before", [False, True])
+def test_what_earlier_blocks_held_is_never_broadcast(spark, before):
+    """One row per client and block: its size follows the data, so it must not go through the driver, however small it looks."""
+    told = spark.range(4000).select(
+        (F.col("id") % 40).alias("client"), (F.col("id") * 1000).alias("seq"), F.format_string('{"tx":%d}', "id").alias("stats"))
+    highs = spark.range(50).selectExpr("id client", "100L tx", "0L tx_bytes", "0L rx_bytes")
+    deltas = tick_deltas(parse_ticks(told), bits=12, before=highs if before else None)
+    rows, plan = plan_after_a_run(deltas)
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= (3 if before else 2)
+    least = 100 if before else 0
+    assert {(r.client, r.seq): r.requests for r in rows} == {
+        (i % 40, i * 1000): max(0, i - max(least, i - 40)) for i in range(4000)}
+
+
+def test_ranks_are_found_without_a_broadcast(spark):
+    rows = spark.range(4000).select((F.col("id") % 3).alias("k"), (F.col("id") * 1000).alias("seq"))
+    ranked, plan = plan_after_a_run(dense_rank_in_order(rows, ["k"], "seq", "n", 12))
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert {(r.k, r.seq): r.n for r in ranked} == {(i % 3, i * 1000): i // 3 for i in range(4000)}
+
+
 def test_runs_one_after_the_other_add_what_one_run_adds(spark, tmp_path):
     rng = random.Random(5)
     rows = [(rng.choice(["hot", "hot", "b", None]), i, f'{{"tx":{rng.randint(-9, 99)},"rx_bytes":{rng.randint(0, 99)}}}')

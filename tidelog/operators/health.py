@@ -43,8 +43,9 @@ def parse_ticks(ticks: DataFrame, column: str = "stats") -> DataFrame:
     read = listed.select(*kept, "_listed", _once(whole).alias("_tick"))
     member = {c: F.coalesce(F.col("_listed")[0][c], F.try_variant_get("_tick", f"$.{c}", "variant")) for c in COUNTERS}
     an_object = (F.size("_listed") == 1) | F.schema_of_variant("_tick").startswith("OBJECT")
-    found = read.where(an_object).select(*kept, _once(F.struct(*[member[c].alias(c) for c in COUNTERS])).alias("_found"))
-    return found.select(*kept, *[_whole(F.col(f"_found.{c}")).alias(c) for c in COUNTERS])
+    # Numbers and not variants leave the last step: a variant counts as 2 KB, so Spark would take what comes after for nearly nothing.
+    found = F.struct(*[_whole(member[c]).alias(c) for c in COUNTERS])
+    return read.where(an_object).select(*kept, _once(found).alias("_found")).select(*kept, "_found.*")
 
 
 def tick_deltas(

@@ -4,7 +4,7 @@ A window over a whole key is one task. Here a key's rows are cut into blocks by
 their sequence number. Numbers are unique in a key, so a block holds at most 2**BLOCK_BITS rows,
 however skewed the keys are. Windows run inside blocks, and each block gets the fold of all blocks
 before it, found the same way one level up on one row per block. Nothing is sampled, staged or
-collected, and a lost executor recomputes the same blocks.
+collected, these folds are not broadcast, and a lost executor recomputes the same blocks.
 """
 
 from __future__ import annotations
@@ -30,6 +30,14 @@ def _whole_key(keys: Sequence[str]) -> Column:
     return F.struct(*keys)
 
 
+def _unsent(carry: DataFrame) -> DataFrame:
+    """Not to be broadcast: up to a row for each key and block, and Spark may take it for far smaller than it is.
+
+    The rows that meet it are already dealt out and sorted by key and block, so a merge join moves none of them.
+    """
+    return carry.hint("merge")
+
+
 def block_carry(
     partials: DataFrame, keys: Sequence[str], columns: Sequence[str],
     fold: Fold, combine: Combine, bits: int = BLOCK_BITS, top_bits: int = 64 - BLOCK_BITS,
@@ -49,7 +57,7 @@ def block_carry(
     supers = partials.groupBy(*keys, F.col("_super").alias("_block")).agg(*[fold(F.col(c)).alias(c) for c in columns])
     outer = block_carry(supers, keys, columns, fold, combine, bits, top_bits - bits)
     outer = outer.select(*keys, F.col("_block").alias("_super"), *[F.col(c).alias(f"_out_{c}") for c in columns])
-    joined = inner.join(outer, [*keys, "_super"])
+    joined = inner.join(_unsent(outer), [*keys, "_super"])
     return joined.select(
         *keys, "_block",
         *[combine(F.col(f"_in_{c}"), F.col(f"_out_{c}")).alias(c) for c in columns])
@@ -77,7 +85,7 @@ def dense_rank_in_order(
             "_key", "_block", _add(F.col("_n"), F.col("start")).alias("_n"))
     in_block = Window.partitionBy("_key", "_block").orderBy(seq)
     local = blocked.withColumn("_rank", F.row_number().over(in_block).cast("bigint") - 1)
-    joined = local.join(carry, ["_key", "_block"])
+    joined = local.join(_unsent(carry), ["_key", "_block"])
     return joined.select(*df.columns, (F.col("_rank") + F.coalesce("_n", zero)).alias(out))
 
 
@@ -95,12 +103,12 @@ def running_max_before(
     carry = block_carry(partials, ["_key"], list(columns), F.max, F.greatest, bits, 64 - bits)
     if starts is not None:
         held = starts.select(_whole_key(keys).alias("_key"), *[F.col(c).alias(f"_start_{c}") for c in columns])
-        carry = carry.join(held, "_key", "left").select(
+        carry = carry.join(_unsent(held), "_key", "left").select(
             "_key", "_block", *[F.greatest(c, f"_start_{c}").alias(c) for c in columns])
     carry = carry.select("_key", "_block", *[F.col(c).alias(f"_carry_{c}") for c in columns])
     before = Window.partitionBy("_key", "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     local = blocked.select("*", *[F.max(c).over(before).alias(f"_local_{c}") for c in columns])
-    joined = local.join(carry, ["_key", "_block"])
+    joined = local.join(_unsent(carry), ["_key", "_block"])
     return joined.select(
         *df.columns,
         *[F.greatest(f"_local_{c}", f"_carry_{c}").alias(name) for c, name in columns.items()])
